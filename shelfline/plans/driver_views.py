@@ -47,7 +47,10 @@ def plus_days(start: str, days: Column) -> Column:
 
 
 def ean_of(number: Column) -> Column:
-    body = F.concat(F.lit("7609"), F.lpad(text(number), 8, "0"))
+    # eight digits carry the first hundred million items, the next ones get a range of their own
+    body = F.when(number < 100_000_000, F.concat(F.lit("7609"), F.lpad(text(number), 8, "0"))).otherwise(
+        F.concat(F.lit("8"), F.lpad(text(number), 11, "0"))
+    )
     return F.concat(body, text(ean13_check_digit(body)))
 
 
