@@ -228,7 +228,7 @@ def scd2_checks(v):
         ("products_scd2", v.product_changes, v.products_scd2, v.products, "sku", ("pack_size",)),
         ("profiles_scd2", v.profile_changes, v.profiles_scd2, v.profiles, "user_id", PROFILE_FIELDS),
     ):
-        kept = pin(history.select(key, "valid_from", "valid_to", "is_current", "version"))
+        kept = history.select(key, "valid_from", "valid_to", "is_current", "version")
         keys = kept.agg(F.countDistinct(key).alias("total_rows"))
         noop = quality.run_checks(
             log, [quality.condition_check("silver", name, "no_op_audit_entries_ignored", scd2.is_noop(), 5.0)]

@@ -15,6 +15,7 @@ from shelfline.functions.dates import month_of, week_ending, week_of
 from shelfline.functions.text import ean13_check_digit
 from shelfline.operators.scd2 import derive_customer, derive_product, drop_noop, rebuild_scd2, with_surrogate_key
 from shelfline.operators.series import fx_daily
+from shelfline.session import pin
 
 # Fixed values of the adapters.
 CURRENCIES = ("EUR", "PLN", "GBP", "CHF", "SEK")
@@ -102,7 +103,7 @@ class DriverViews:
             text("n").alias("country_code"),
         )
 
-    # customers and products -----------------------------------------------------------------------------
+    # customers and products: histories are stored once before facts are joined to them -----------------------------------------------------------------------------
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -155,7 +156,7 @@ class DriverViews:
         rebuilt = rebuild_scd2(
             self.customers, drop_noop(self.customer_changes), "customer_id", "created_at", CUSTOMER_FIELDS
         )
-        return with_surrogate_key(derive_customer(rebuilt, TYPE_OF_CHANNEL), "customer_id", "customer_sk")
+        return pin(with_surrogate_key(derive_customer(rebuilt, TYPE_OF_CHANNEL), "customer_id", "customer_sk"), "customers")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -195,7 +196,7 @@ class DriverViews:
     @cached_property
     def products_scd2(self) -> DataFrame:
         rebuilt = rebuild_scd2(self.products, drop_noop(self.product_changes), "sku", "valid_start", ["pack_size"])
-        return with_surrogate_key(derive_product(rebuilt), "sku", "product_sk")
+        return pin(with_surrogate_key(derive_product(rebuilt), "sku", "product_sk"), "products")
 
     # event profiles: a log with few keys and many entries per key -----------------------------------------
 
@@ -222,7 +223,8 @@ class DriverViews:
 
     @cached_property
     def profiles_scd2(self) -> DataFrame:
-        return rebuild_scd2(self.profiles, drop_noop(self.profile_changes), "user_id", "first_seen", PROFILE_FIELDS)
+        rebuilt = rebuild_scd2(self.profiles, drop_noop(self.profile_changes), "user_id", "first_seen", PROFILE_FIELDS)
+        return pin(rebuilt, "profiles")
 
     # orders ---------------------------------------------------------------------------------------------
 

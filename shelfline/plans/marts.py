@@ -163,7 +163,6 @@ def mart_promo_performance(
     Each promotion is spread over its own weeks (baseline plus duration, a dozen rows), which turns the
     interval join into an equi join on customer, category and week.
     """
-    exact = "decimal(20,3)"
     weekly = reportable(lines).groupBy(
         F.col(customer).alias("customer_id"), "category", week_of(F.col("order_date")).alias("week_start")
     ).agg(
@@ -182,22 +181,22 @@ def mart_promo_performance(
         .groupBy(*promotions.columns)
         .agg(
             sum_where(during, F.col("cases")).alias("promo_cases"),
-            sum_where(during, F.col("net_eur")).cast("double").alias("promo_net_eur"),
-            sum_where(during, F.col("cogs_eur")).cast("double").alias("promo_cogs_eur"),
-            sum_where(before, F.col("cases")).alias("_base_cases"),
-            sum_where(before, F.col("net_eur")).cast("double").alias("_base_net"),
+            sum_where(during, F.col("net_eur")).cast("decimal(18,2)").alias("promo_net_eur"),
+            sum_where(during, F.col("cogs_eur")).cast("decimal(18,2)").alias("promo_cogs_eur"),
+            sum_where(before, F.col("cases")).cast("decimal(18,0)").alias("_base_cases"),
+            sum_where(before, F.col("net_eur")).cast("decimal(18,2)").alias("_base_net"),
         )
     )
-    weeks = F.col("duration_weeks")
-    discount = F.col("discount_pct").cast("double")
-    base_cases = F.col("_base_cases") / BASELINE_WEEKS * weeks
+    # the baseline is a mean over eight weeks times the weeks of the promotion, kept exact
+    per_week = F.lit(str(1 / BASELINE_WEEKS)).cast("decimal(4,3)") * F.col("duration_weeks")
     measured = per_promo.withColumns(
-        {"baseline_cases": base_cases, "baseline_net_eur": F.col("_base_net") / BASELINE_WEEKS * weeks}
+        {"baseline_cases": F.col("_base_cases") * per_week, "baseline_net_eur": F.col("_base_net") * per_week}
     ).filter("baseline_cases > 0")
-    given_away = ratio(F.col("promo_net_eur") * discount, 1 - discount)
+    given_away = F.try_divide(F.col("promo_net_eur") * F.col("discount_pct"), 1 - F.col("discount_pct"))
     cost_share = ratio(F.col("promo_cogs_eur"), F.col("promo_net_eur"))
     # both sides at the cost share of the promotion itself
-    gain = F.col("promo_net_eur") - F.col("promo_cogs_eur") - F.col("baseline_net_eur") * (1 - cost_share)
+    margin = (F.col("promo_net_eur") - F.col("promo_cogs_eur")).cast("double")
+    gain = margin - F.col("baseline_net_eur").cast("double") * (1 - cost_share)
     result = measured.select(
         *promotions.columns,
         "promo_cases",

@@ -64,11 +64,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so later readers see the same rows even after
-    executors are lost."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
+    """Cut the lineage: write the rows to a table in the shared folder and read them back.
+
+    Later readers see the same rows even after executors are lost, read only the columns they need, and the
+    planner knows the table's real size."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
