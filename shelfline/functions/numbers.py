@@ -19,9 +19,22 @@ def to_base_currency(amount: Column, rate: Column) -> Column:
     return money(F.try_divide(amount.cast("double"), rate))
 
 
-def total(value: Column, digits: int = 2) -> Column:
-    """Exact decimal sum, rounded and handed over as double."""
-    return F.round(F.sum(value), digits).cast("double")
+def units(value: Column, digits: int) -> Column:
+    """A value as a whole number of its smallest unit (cents, grams), rounded half up.  Whole numbers add up
+    the same in any order and cost a fraction of wide decimals."""
+    return F.floor(value.cast("double") * 10**digits + 0.5)
+
+
+def unit_sum(value: Column, digits: int) -> Column:
+    """Exact sum in smallest units; overflow is an error, never a wrong number."""
+    return F.sum(units(value, digits))
+
+
+def total(value: Column, digits: int = 2, kept: int | None = None) -> Column:
+    """Exact sum as double; ``kept`` digits are added up, ``digits`` are shown."""
+    kept = digits if kept is None else kept
+    summed = unit_sum(value, kept) / 10**kept
+    return summed if kept == digits else F.round(summed, digits)
 
 
 def sum_where(condition: Column, value: Column) -> Column:

@@ -155,9 +155,8 @@ def pit_customer(v):
 
 @query
 def pit_product(v):
-    facts = v.order_lines.select("order_id", "line_no", "sku", "qty_cases").join(
-        v.orders.select("order_id", "order_date"), "order_id"
-    )
+    keys = v.order_lines.select("order_id", "line_no", "sku", "qty_cases")
+    facts = sales.join_header(keys, v.orders.select("order_id", "order_date"))
     take = {"version": "version", "pack_size": "pack_size", "case_weight_kg": "case_weight_kg"}
     return lookup.pit_join(facts, v.products_scd2, "sku", F.col("order_date"), take)
 
@@ -171,7 +170,7 @@ def pit_profile(v):
 
 @query
 def asof_price(v):
-    facts = v.order_lines.select("order_id", "line_no", "sku").join(v.orders.select("order_id", "order_date"), "order_id")
+    facts = sales.join_header(v.order_lines.select("order_id", "line_no", "sku"), v.orders.select("order_id", "order_date"))
     take = {"list_price_case": "list_price_case", "price_from": "valid_from"}
     return lookup.asof_join(facts, v.price_list, ["sku"], "order_date", "valid_from", take)
 
@@ -384,7 +383,7 @@ def group_corr(v):
 
 @query
 def spike_ratio(v):
-    sell_in = v.order_lines.join(v.orders, "order_id").filter(sales.is_reportable())
+    sell_in = sales.join_header(v.order_lines, v.orders).filter(sales.is_reportable())
     monthly = sell_in.groupBy("distributor_id", month_of(F.col("order_date")).alias("month_start")).agg(
         F.sum("qty_cases").alias("cases")
     )
@@ -494,7 +493,7 @@ def reconcile_counts(v):
 
 @query
 def reconcile_totals(v):
-    source = v.order_lines.join(v.orders, "order_id").filter(sales.is_reportable()).withColumn("year", F.year("order_date"))
+    source = sales.join_header(v.order_lines, v.orders).filter(sales.is_reportable()).withColumn("year", F.year("order_date"))
     fact = sales.fact_sales(lines_of(v)).filter("order_id % 1000 <> 3").withColumn("year", F.year("order_date"))
     target = fact.select("year", "currency", F.col("net_amount_lc").alias("net_amount"), "qty_cases")
     measures = {"net_sales_local_currency": (F.sum("net_amount"), 0.01), "cases": (F.sum("qty_cases"), 0.0)}
@@ -503,7 +502,7 @@ def reconcile_totals(v):
 
 @query
 def naive_gap(v):
-    lines = v.order_lines.join(v.orders.filter("currency = 'EUR'"), "order_id")
+    lines = sales.join_header(v.order_lines, v.orders.filter("currency = 'EUR'"))
     return reconcile.naive_gap(lines, sales.is_reportable(), "net_amount")
 
 
@@ -536,7 +535,7 @@ def run_log_rows(v):
 
 
 def _counted(v: DriverViews) -> DataFrame:
-    joined = v.order_lines.join(v.orders, "order_id")
+    joined = sales.join_header(v.order_lines, v.orders)
     return marts.table_counts(
         {
             **{("bronze", t): v.table(t) for t in ("orders", "lineitem", "customer", "part", "events")},
@@ -768,7 +767,7 @@ def gbt_forecast(v):
 
 @query
 def row_filter(v):
-    lines = v.order_lines.join(v.orders, "order_id").join(
+    lines = sales.join_header(v.order_lines, v.orders).join(
         v.customers.select("customer_id", "country_code"), "customer_id"
     )
     seen = governance.row_filter(lines, v.country_access, USER)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import month_of, week_ending, week_of
-from shelfline.functions.text import ean13_check_digit
 from shelfline.operators.scd2 import derive_customer, derive_product, drop_noop, rebuild_scd2, with_surrogate_key
 from shelfline.operators.series import fx_daily
 from shelfline.session import pin
@@ -48,11 +47,19 @@ def plus_days(start: str, days: Column) -> Column:
 
 
 def ean_of(number: Column) -> Column:
-    # eight digits carry the first hundred million items, the next ones get a range of their own
-    body = F.when(number < 100_000_000, F.concat(F.lit("7609"), F.lpad(text(number), 8, "0"))).otherwise(
-        F.concat(F.lit("8"), F.lpad(text(number), 11, "0"))
-    )
-    return F.concat(body, text(ean13_check_digit(body)))
+    """Barcode of an item number, by integer arithmetic.  Prefix 7609 carries the first hundred million items,
+    the next ones get a range of their own."""
+    body = number.cast("bigint") + F.when(number < 100_000_000, 760_900_000_000).otherwise(800_000_000_000)
+    digit = lambda place: F.call_function("div", body, F.lit(10**place)) % 10
+    weighted = sum((digit(p) * (3 if p % 2 == 0 else 1) for p in range(12)), F.lit(0))
+    return text(body * 10 + (10 - weighted % 10) % 10)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly row work on an input with fewer splits than cores; a large input has enough
+    splits of its own and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def entries(*rows: tuple[Column, dict[str, Column]]) -> Column:
@@ -408,9 +415,10 @@ class DriverViews:
             qty >= 1000, F.concat(text(F.call_function("div", qty, F.lit(1000))), F.lit("."), F.lpad(text(qty % 1000), 3, "0"))
         ).otherwise(text(qty))
         stock = text(F.col("l_quantity").cast("int") * 3)
-        ean = ean_of(F.col("l_partkey"))
-        line = F.col("l_linenumber")
-        rows = self.table("lineitem").select(
+        ean, line = F.col("_ean"), F.col("l_linenumber")
+        used = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_shipdate".split()
+        items = spread(self.table("lineitem").select(*used)).withColumn("_ean", ean_of(F.col("l_partkey")))
+        rows = items.select(
             layout.alias("layout"),
             F.when(dirt == 10, "C999999")
             .when(layout == "B", F.concat(F.lit("c-"), number))

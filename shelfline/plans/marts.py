@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import calendar_columns, month_of, week_ending, week_of
-from shelfline.functions.numbers import growth, ratio, share_of, sum_where, total
+from shelfline.functions.numbers import growth, ratio, share_of, sum_where, total, unit_sum
 from shelfline.operators.lookup import join_fx
 from shelfline.operators.sales import reportable
 from shelfline.operators.scd2 import current_versions
@@ -54,6 +54,11 @@ def dim_bridge_step(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(s, i + 1) for i, s in enumerate(BRIDGE_STEPS)], "step string, step_order int")
 
 
+def tonnes(kg: Column) -> Column:
+    """Sum of kilograms (whole grams) in tonnes."""
+    return F.round(unit_sum(kg, 3) / 1e6, 3)
+
+
 # sales --------------------------------------------------------------------------------------------------
 
 
@@ -61,21 +66,19 @@ def mart_sales_monthly(lines: DataFrame, fx: DataFrame, base_year: int) -> DataF
     """Month x country x channel x SKU.  Constant-currency sales use the base year's published rates."""
     # one row per currency
     base = F.broadcast(published_average(fx, base_year))
-    at_base = ratio(F.col("net_amount_lc"), F.col("base_rate")).cast("decimal(20,6)")
+    at_base = ratio(F.col("net_amount_lc"), F.col("base_rate"))
     return (
         reportable(lines)
         .join(base, "currency")
         .groupBy(month_of(F.col("order_date")).alias("month_start"), "country_code", "channel", "sku", "category")
         .agg(
             F.sum(F.col("qty_cases").cast("long")).alias("cases"),
-            total(F.col("volume_kg") / 1000, 3).alias("volume_t"),
+            tonnes(F.col("volume_kg")).alias("volume_t"),
             total(F.col("gross_amount_eur")).alias("gross_sales_eur"),
             total(F.col("net_amount_eur")).alias("net_sales_eur"),
-            total(at_base).alias("net_sales_cfx_eur"),
+            total(at_base, 2, kept=6).alias("net_sales_cfx_eur"),
             total(F.col("cogs_eur")).alias("cogs_eur"),
-            total(F.when(F.col("is_promo"), F.col("net_amount_eur")).otherwise(F.lit(0).cast("decimal(16,2)"))).alias(
-                "promo_net_sales_eur"
-            ),
+            F.coalesce(total(F.when(F.col("is_promo"), F.col("net_amount_eur"))), F.lit(0.0)).alias("promo_net_sales_eur"),
             F.count(F.lit(1)).alias("order_lines"),
         )
     )
@@ -119,16 +122,14 @@ def weekly_sell_in(lines: DataFrame, distributors: DataFrame, customer: str = "c
         week_ending(F.col("order_date")).alias("week_ending"), F.col(customer).alias("distributor_id"), "category"
     ).agg(
         F.sum(F.col("qty_cases").cast("long")).alias("sell_in_cases"),
-        F.sum("net_amount_eur").alias("sell_in_eur"),
+        total(F.col("net_amount_eur")).alias("sell_in_eur"),
     )
     return weekly.join(distributors.select("distributor_id"), "distributor_id", "left_semi")
 
 
 def weekly_sell_out(sellout: DataFrame) -> DataFrame:
-    exact = "decimal(20,3)"
     return sellout.groupBy("week_ending", "distributor_id", "category").agg(
-        F.sum(F.col("qty_cases").cast(exact)).alias("sell_out_cases"),
-        F.sum(F.col("stock_cases").cast(exact)).alias("stock_cases"),
+        total(F.col("qty_cases"), 3).alias("sell_out_cases"), total(F.col("stock_cases"), 3).alias("stock_cases")
     )
 
 
@@ -139,9 +140,9 @@ def mart_sellin_sellout_weekly(sell_in: DataFrame, sell_out: DataFrame, distribu
     aligned = sell_in.join(sell_out, keys, "full_outer").select(
         *keys,
         F.coalesce("sell_in_cases", F.lit(0)).alias("sell_in_cases"),
-        F.coalesce(F.col("sell_in_eur").cast("double"), F.lit(0.0)).alias("sell_in_eur"),
-        F.coalesce(F.col("sell_out_cases").cast("double"), F.lit(0.0)).alias("sell_out_cases"),
-        F.col("stock_cases").cast("double").alias("stock_cases"),
+        F.coalesce("sell_in_eur", F.lit(0.0)).alias("sell_in_eur"),
+        F.coalesce("sell_out_cases", F.lit(0.0)).alias("sell_out_cases"),
+        "stock_cases",
     )
     with_mean = aligned.withColumn(
         "sell_out_4w_avg",
@@ -167,9 +168,13 @@ def mart_promo_performance(
         F.col(customer).alias("customer_id"), "category", week_of(F.col("order_date")).alias("week_start")
     ).agg(
         F.sum(F.col("qty_cases").cast("long")).alias("cases"),
-        F.sum("net_amount_eur").alias("net_eur"),
-        F.sum("cogs_eur").alias("cogs_eur"),
+        unit_sum(F.col("net_amount_eur"), 2).alias("net_cents"),
+        unit_sum(F.col("cogs_eur"), 2).alias("cogs_cents"),
     )
+
+    def euros(cents: Column) -> Column:
+        return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
+
     first_monday = week_of(F.date_add(F.col("start_date"), 6 - 7 * BASELINE_WEEKS))
     spread = promotions.filter(F.col("end_date") >= F.col("start_date")).withColumn(
         "week_start", F.explode(F.sequence(first_monday, F.col("end_date"), F.expr("INTERVAL 7 DAYS")))
@@ -181,10 +186,10 @@ def mart_promo_performance(
         .groupBy(*promotions.columns)
         .agg(
             sum_where(during, F.col("cases")).alias("promo_cases"),
-            sum_where(during, F.col("net_eur")).cast("decimal(18,2)").alias("promo_net_eur"),
-            sum_where(during, F.col("cogs_eur")).cast("decimal(18,2)").alias("promo_cogs_eur"),
+            euros(sum_where(during, F.col("net_cents"))).alias("promo_net_eur"),
+            euros(sum_where(during, F.col("cogs_cents"))).alias("promo_cogs_eur"),
             sum_where(before, F.col("cases")).cast("decimal(18,0)").alias("_base_cases"),
-            sum_where(before, F.col("net_eur")).cast("decimal(18,2)").alias("_base_net"),
+            euros(sum_where(before, F.col("net_cents"))).alias("_base_net"),
         )
     )
     # the baseline is a mean over eight weeks times the weeks of the promotion, kept exact
@@ -228,7 +233,7 @@ def mart_demand_weekly(lines: DataFrame, weather: DataFrame, inflation: DataFram
     sales = reportable(lines).groupBy(
         week_of(F.col("order_date")).alias("week_start"), "country_code", "category"
     ).agg(
-        total(F.col("volume_kg") / 1000, 3).alias("volume_t"),
+        tonnes(F.col("volume_kg")).alias("volume_t"),
         total(F.col("net_amount_eur")).alias("net_sales_eur"),
         share_of(F.col("is_promo")).alias("promo_line_share"),
     )
@@ -250,10 +255,10 @@ def mart_pos_daily(events: DataFrame, products: DataFrame, fx: DataFrame) -> Dat
     known = events.join(products.select("ean", "category"), "ean", "left")
     priced = join_fx(known, fx, "event_date")
     sign = F.when(F.col("event_type") == "purchase", 1).otherwise(-1)
-    revenue = ratio(sign * F.col("quantity") * F.col("unit_price"), F.col("rate_per_eur")).cast("decimal(20,6)")
+    revenue = ratio(sign * F.col("quantity") * F.col("unit_price"), F.col("rate_per_eur"))
     return priced.groupBy("event_date", "country", "retailer_id", "category").agg(
         F.sum((sign * F.col("quantity")).cast("long")).alias("net_units"),
-        total(revenue).alias("net_revenue_eur"),
+        total(revenue, 2, kept=6).alias("net_revenue_eur"),
         F.count(F.lit(1)).alias("events"),
         F.count("device").alias("events_with_device"),
     )
