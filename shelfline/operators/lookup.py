@@ -33,10 +33,12 @@ def pit_join(
     condition.  For a key with many versions that would compare each fact with each version, so such keys
     go through one ordered pass over facts and versions together.
     """
+    # numbered versions tell with one column whether any key has many
+    few = "version" in versions.columns and (versions.agg(F.max("version")).first()[0] or 0) <= dense
     versions = versions.select(key, "valid_from", "valid_to", *[F.col(c).alias(f"_v_{n}") for n, c in take.items()])
     facts = facts.withColumn("_at", at.cast(dict(versions.dtypes)["valid_from"]))
-    busy = heavy_keys(versions, [key], dense)
-    if busy.count == 0:
+    busy = None if few else heavy_keys(versions, [key], dense)
+    if busy is None or busy.count == 0:
         return _range_match(facts, versions, key, take)
     busy_facts, calm_facts = split_heavy(facts, busy)
     busy_versions, calm_versions = split_heavy(versions, busy)

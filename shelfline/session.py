@@ -49,14 +49,13 @@ def shared_root(spark: SparkSession) -> str:
 
     Only a local-mode session may fall back to a fresh temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="shelfline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfline-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, label: str) -> str:
