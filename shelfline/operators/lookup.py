@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import fiscal_quarter
-from shelfline.operators.scan import HEAVY_ROWS, heavy_keys, ordered_scan, split_heavy
+from shelfline.operators.scan import HEAVY_ROWS, HeavyKeys, heavy_keys, ordered_scan, split_heavy
 
 #: Keys with more versions than this are matched by one ordered pass instead of a range condition.
 DENSE_VERSIONS = 256
@@ -85,8 +85,10 @@ def asof_join(
     series_at: str,
     take: Mapping[str, str],
     heavy_rows: int = HEAVY_ROWS,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
-    """Left join to the newest ``series`` row at or before ``at`` per key, in one ordered pass."""
+    """Left join to the newest ``series`` row at or before ``at`` per key, in one ordered pass.  ``heavy`` passes a
+    count of the busy keys when a cheaper input than the facts can give it."""
     columns = facts.columns
     stream = facts.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.struct(*columns).alias("_fact")).unionByName(
         series.select(
@@ -97,7 +99,7 @@ def asof_join(
         ),
         allowMissingColumns=True,
     )
-    scanned = ordered_scan(stream, keys, ["_at", "_kind"], carry={"_hit": F.col("_value")}, heavy_rows=heavy_rows)
+    scanned = ordered_scan(stream, keys, ["_at", "_kind"], carry={"_hit": F.col("_value")}, heavy_rows=heavy_rows, heavy=heavy)
     return scanned.filter("_kind = 1").select(
         *[F.col(f"_fact.{c}").alias(c) for c in columns], *[F.col(f"_hit.{n}").alias(n) for n in take]
     )

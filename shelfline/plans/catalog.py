@@ -12,6 +12,7 @@ from shelfline.functions.hashing import checksum, portable_checksum
 from shelfline.functions.numbers import count_where
 from shelfline.functions.text import barcode, ean13_valid
 from shelfline.operators import dedup, forecast, governance, lookup, quality, reconcile, runlog, sales, scd2, sellout, series
+from shelfline.operators.scan import heavy_keys
 from shelfline.plans import kpi, marts, stories
 from shelfline.plans.driver_views import (
     BASE_YEAR,
@@ -172,7 +173,9 @@ def pit_profile(v):
 def asof_price(v):
     facts = sales.join_header(v.order_lines.select("order_id", "line_no", "sku"), v.orders.select("order_id", "order_date"))
     take = {"list_price_case": "list_price_case", "price_from": "valid_from"}
-    return lookup.asof_join(facts, v.price_list, ["sku"], "order_date", "valid_from", take)
+    # the busy SKUs are known from the lines alone
+    heavy = heavy_keys(v.order_lines, ["sku"])
+    return lookup.asof_join(facts, v.price_list, ["sku"], "order_date", "valid_from", take, heavy=heavy)
 
 
 @query
@@ -424,7 +427,9 @@ def dq_sales(v):
 
 @query
 def dq_sellout(v):
-    return rounded(quality.sellout_checks(conformed_of(v), weekly_sellout_of(v)))
+    # parsed once, counted and cleaned from the stored rows
+    conformed = pin(conformed_of(v), "conformed")
+    return rounded(quality.sellout_checks(conformed, sellout.weekly_sellout(sellout.valid_rows(conformed))))
 
 
 @query
@@ -692,7 +697,8 @@ def _land_events(v: DriverViews) -> str:
     landing = f"{scratch(v.spark, 'pos')}/landing"
     fields = [*_columns(POS_EVENT), "device"]
     lines = v.pos_events.select(F.to_json(F.struct(*fields)).alias("value"), F.col("file_date").alias("date"))
-    lines.repartition("date").write.partitionBy("date").text(landing)
+    # few files per day, and a busy day is split
+    lines.hint("rebalance", "date").write.partitionBy("date").text(landing)
     return landing
 
 

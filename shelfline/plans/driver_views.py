@@ -10,8 +10,10 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfline.functions.dates import month_of, week_ending, week_of
+from shelfline.functions.numbers import units
 from shelfline.operators.scd2 import derive_customer, derive_product, drop_noop, rebuild_scd2, with_surrogate_key
 from shelfline.operators.series import fx_daily
 from shelfline.session import pin
@@ -46,6 +48,16 @@ def plus_days(start: str, days: Column) -> Column:
     return instant(start) + F.make_dt_interval(days.cast("int"))
 
 
+def from_cents(cents: Column) -> Column:
+    return cents.cast("decimal(14,0)") * F.lit("0.01").cast("decimal(3,2)")
+
+
+def net_amount() -> Column:
+    """Price after discount, half up to cents."""
+    paid = units(F.col("l_extendedprice"), 2) * (100 - units(F.col("l_discount"), 2))
+    return from_cents(F.call_function("div", paid + 50, F.lit(100))).cast("decimal(14,2)")
+
+
 def ean_of(number: Column) -> Column:
     """Barcode of an item number, by integer arithmetic.  Prefix 7609 carries the first hundred million items,
     the next ones get a range of their own."""
@@ -72,9 +84,13 @@ class DriverViews:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     # reference data ------------------------------------------------------------------------------------
 
@@ -255,25 +271,23 @@ class DriverViews:
     @cached_property
     def order_lines(self) -> DataFrame:
         qty = F.col("l_quantity").cast("bigint")
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        cents = units(F.col("l_extendedprice"), 2)
         # half-up division in whole cents
         unit_cents = F.call_function("div", 2 * cents + qty, 2 * qty)
-        net = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
             F.col("l_partkey").alias("sku"),
             qty.cast("int").alias("qty_cases"),
-            (unit_cents.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(12,2)").alias("list_price_case"),
+            from_cents(unit_cents).cast("decimal(12,2)").alias("list_price_case"),
             F.col("l_discount").cast("decimal(6,4)").alias("discount_pct"),
-            net.cast("decimal(14,2)").alias("net_amount"),
+            net_amount().alias("net_amount"),
             F.when(F.col("l_discount") >= 0.08, F.concat(F.lit("P"), text("l_orderkey"))).alias("promo_id"),
             F.concat(F.lit("C"), F.lpad(text(F.col("l_suppkey") % 20), 6, "0")).alias("distributor_id"),
         )
 
     @cached_property
     def returns(self) -> DataFrame:
-        net = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
         return self.table("lineitem").filter("l_returnflag = 'R'").select(
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("return_id"),
             F.col("l_orderkey").alias("order_id"),
@@ -281,7 +295,7 @@ class DriverViews:
             F.col("l_shipdate").cast("date").alias("return_date"),
             F.col("l_quantity").cast("int").alias("qty_cases"),
             F.concat(F.lit("R"), text(F.col("l_linenumber") % 3)).alias("reason_code"),
-            net.cast("decimal(14,2)").alias("credit_amount"),
+            net_amount().alias("credit_amount"),
         )
 
     @cached_property
