@@ -4,20 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.llm.backoff_lm import score_texts
 from shelfline.llm.chunks import bounded_batches, ship_package
+from shelfline.llm.fingerprints import compare_with_next
+from shelfline.llm.license_scan import scan
+from shelfline.llm.mixing import taken_words
+from shelfline.llm.near_dedup import near_duplicates
+from shelfline.llm.pieces import encode_decode
+from shelfline.llm.quality import repetition
 from shelfline.llm.substring_dedup import remove_repeats
+from shelfline.llm.token_counts import count_tokens
+from shelfline.llm.token_files import round_trip
 from shelfline.session import tune
 
+#: Vocabulary files; any other path does as well.
+PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The text table, read in small Arrow batches by every Python stage."""
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """Settings every Python stage relies on, and the package on the workers."""
     tune(spark)
     bounded_batches(spark)
     ship_package(spark)
-    return spark.read.parquet(f"{folder}/documents.parquet")
+    return spark
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return prepared(spark).read.parquet(f"{folder}/documents.parquet")
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,6 +44,64 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Repetition figures and the verdict on every document."""
+    return repetition(documents(spark, folder).select("doc_id", "text")).drop("text")
+
+
+def op3_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of each text, its edited form and its successor."""
+    return compare_with_next(documents(spark, folder))
+
+
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids by the merge agenda and the text they decode to."""
+    return encode_decode(documents(spark, folder), PIECES, keep_ids=False)
+
+
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probabilities of all texts under a model of nine tenths of them."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return score_texts(documents(spark, folder), held_out)
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every text, huge ones spliced from overlapping chunks."""
+    return count_tokens(documents(spark, folder), PIECES, limit=4096)
+
+
+def op7_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact license phrases and fuzzy notices."""
+    return scan(documents(spark, folder)).drop("spans")
+
+
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids written as flat binary files and read back."""
+    return round_trip(spark, documents(spark, folder), WORDS, END_ID)
+
+
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words taken of each document when sources are mixed to weights 3, 1, 2 ..."""
+    return taken_words(documents(spark, folder))
+
+
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 2-word shingle sets are alike by 80 percent."""
+    return near_duplicates(documents(spark, folder), n=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_substring_dedup": op1_substring_dedup,
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_quality_rules,
+        op3_document_fingerprints,
+        op4_sentencepiece,
+        op5_lm_scoring,
+        op6_token_counts,
+        op7_license_scans,
+        op8_token_files,
+        op9_source_mixing,
+        op10_minhash_near_dedup,
+    )
 }
