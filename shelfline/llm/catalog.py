@@ -56,7 +56,7 @@ def op3_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids by the merge agenda and the text they decode to."""
-    return encode_decode(documents(spark, folder), PIECES, keep_ids=False)
+    return encode_decode(documents(spark, folder), PIECES, keep_ids=False, keep_decoded=False)
 
 
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

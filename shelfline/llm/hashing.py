@@ -38,15 +38,15 @@ def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and its inverse modulo 2**64 for i below ``size``."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < size:
-        size = max(size, 1 << 16)
+        room = max(size, 1 << 16)
         pair = []
         for b in (base, pow(base, -1, 2**64)):
-            p = np.full(size, b, dtype=np.uint64)
+            p = np.full(room, b, dtype=np.uint64)
             p[0] = 1
             pair.append(np.cumprod(p, dtype=np.uint64))
-        have = _POWERS[base] = (pair[0], pair[1])
-        if size > 1 << 23:  # not kept: memory of a worker stays bounded
-            del _POWERS[base]
+        have = (pair[0], pair[1])
+        if room <= 1 << 23:  # longer ones are not kept: memory of a worker stays bounded
+            _POWERS[base] = have
     return have[0][:size], have[1][:size]
 
 

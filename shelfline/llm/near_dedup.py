@@ -161,5 +161,5 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         found = pin(_confirmed(more, sets, percent), "links")
         tried, edges = tried.unionByName(more), edges.unionByName(found)
     reach = heads.select("same", "id").join(labels, "id", "left").select("same", F.coalesce("label", "id").alias("reach"))
-    placed = sketches.join(reach, "same", "left").select("doc_id", "n_shingles", F.coalesce("reach", "doc_id").alias("component_id"))
+    placed = sketches.join(reach, "same", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("reach", "doc_id")).alias("component_id"))
     return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

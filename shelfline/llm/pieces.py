@@ -140,9 +140,9 @@ def digest(ids: list[int]) -> str:
     return hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
-def encode_decode(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids (array, unless ``keep_ids`` is false), ids_sha256, decoded, the text the library
-    makes of the ids, and decoded_sha256.  ``path`` is the model file, present on every executor.
+def encode_decode(docs: DataFrame, path: str, keep_ids: bool = True, keep_decoded: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, ids (array, unless ``keep_ids`` is false) and decoded, the
+    text the library makes of the ids (unless ``keep_decoded`` is false).  ``path`` is the model file, present on every executor.
 
     Null text is the empty text, with no ids.  Long texts are encoded whole.  Rows are independent; a repeated
     row gets an equal result, a null doc_id stays null, further columns are not carried."""
@@ -159,9 +159,11 @@ def encode_decode(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFram
             "decoded_sha256": pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()),
         }
         if keep_ids:
-            columns |= {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
+            columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
+        if keep_decoded:
+            columns["decoded"] = pa.array(decoded, pa.string())
         return pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return C.map_batches(narrow, run, schema + (", ids array<int>, decoded string" if keep_ids else ""))
+    return C.map_batches(narrow, run, schema + ", ids array<int>" * keep_ids + ", decoded string" * keep_decoded)

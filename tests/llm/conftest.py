@@ -1,0 +1,26 @@
+import pytest
+
+from llm_data import odd_docs
+from shelfline.llm.catalog import prepared
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def llm(spark):
+    return prepared(spark)
+
+
+@pytest.fixture(scope="session")
+def small(llm):
+    return llm.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def small_rows(small):
+    return [r.asDict() for r in small.collect()]
+
+
+@pytest.fixture(scope="session")
+def odd():
+    return odd_docs()
