@@ -450,10 +450,13 @@ def dq_master(v):
 
 def _pos_batch(v: DriverViews) -> tuple[DataFrame, DataFrame]:
     """Events as one batch: raw rows and each event once."""
-    raw = v.pos_events
-    clean = dedup.dedup_exact(raw, ["event_id"])
-    day = F.try_to_timestamp("event_ts").cast("date")
-    return raw, clean.withColumn("event_date", day).withColumn("is_late", F.col("event_date") < F.col("file_date"))
+    raw = v.pos_events.withColumns(
+        {
+            "_source_file": F.concat(F.lit("date="), F.col("file_date").cast("string")),
+            "_ingested_at": F.lit(None).cast("timestamp"),
+        }
+    )
+    return raw, dedup.dedup_exact(pos.conform_events(raw), ["event_id"])
 
 
 @query
@@ -720,9 +723,9 @@ def pos_events(v):
 
 @query
 def pos_events_stateful(v):
-    pos.use_disk_state(v.spark)
     root = scratch(v.spark, "pos-stateful")
-    stream = pos.dedup_events(pos.conform_events(pos.read_event_stream(v.spark, _land_events(v))))
+    session = pos.disk_state_session(v.spark)
+    stream = pos.dedup_events(pos.conform_events(pos.read_event_stream(session, _land_events(v))))
     ingest.run_available_now(stream, f"{root}/silver", f"{root}/checkpoint")
     return v.spark.read.parquet(f"{root}/silver").select(*POS_COLUMNS)
 

@@ -7,9 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from shelfline.operators.dedup import unseen
+from shelfline.operators.dedup import dedup_exact, unseen
 from shelfline.operators.runlog import log_row
 
 
@@ -18,10 +17,9 @@ def table_path(root: str, layer: str, name: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except AnalysisException:
-        return False
+    """Whether there is something at a path.  What cannot be read there is an error for the reader, not absence."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_relational(
@@ -85,10 +83,14 @@ def write_clustered(df: DataFrame, path: str, column: str, partitions: int | Non
 
 
 def insert_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]) -> int:
-    """Append the rows whose key is not there yet."""
-    fresh = batch.dropDuplicates(list(keys))
+    """Append the rows whose key is not there yet; of several copies in the batch the smallest row counts.
+
+    The target is reduced to the batch's keys before it meets the batch, so it is scanned, not shuffled, while
+    the batch is small."""
+    fresh = dedup_exact(batch, keys)
     if exists(spark, path):
-        fresh = unseen(fresh, spark.read.parquet(path), keys)
+        stored = spark.read.schema(batch.schema).parquet(path).select(*keys)
+        fresh = unseen(fresh, stored.join(fresh.select(*keys), list(keys), "left_semi"), keys)
     return append_table(fresh, path)
 
 

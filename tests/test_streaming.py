@@ -101,6 +101,37 @@ def test_retried_batch_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 4
 
 
+def test_histories_of_two_checkpoints_are_kept(spark, tmp_path):
+    land, bronze, silver = (tmp_path / n for n in ("land", "bronze", "silver"))
+
+    def run(check):
+        return pos.run_upsert(pos.read_event_stream(spark, str(land)), str(bronze), str(silver), str(tmp_path / check))
+
+    put(land / "date=2025-09-14" / "events_0.jsonl", event(1) + event(2))
+    assert run("first") == 2
+    put(land / "date=2025-09-15" / "events_0.jsonl", event(2) + event(3))
+    # the checkpoint is lost: everything is read again, and only the new event is added
+    assert run("second") == 1
+    assert rows(spark.read.parquet(str(silver)), "event_id") == [("e1",), ("e2",), ("e3",)]
+    assert spark.read.parquet(str(bronze)).count() == 2 + 4
+    put(land / "date=2025-09-16" / "events_0.jsonl", event(3) + event(4))
+    assert (run("first"), run("second")) == (1, 0)
+    assert rows(spark.read.parquet(str(silver)), "event_id") == [("e1",), ("e2",), ("e3",), ("e4",)]
+
+
+def test_a_batch_reads_only_its_buckets(spark):
+    batch = spark.createDataFrame([("e1",)], "event_id string").withColumn(pos.BUCKET, pos.id_bucket())
+    history = spark.createDataFrame([(f"e{i}",) for i in range(500)], "event_id string").withColumn(pos.BUCKET, pos.id_bucket())
+    assert pos.unseen_events(batch, history).count() == 0
+    assert pos.unseen_events(batch, history.filter("event_id <> 'e1'")).count() == 1
+
+
+def test_disk_state_leaves_the_session_alone(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    assert pos.disk_state_session(spark).conf.get(key) != before and spark.conf.get(key) == before
+
+
 def test_stateful_dedup_survives_a_restart(spark, tmp_path):
     land = tmp_path / "land"
 
