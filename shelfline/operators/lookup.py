@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.dates import fiscal_quarter
 from shelfline.operators.scan import HEAVY_ROWS, HeavyKeys, heavy_keys, ordered_scan, split_heavy
+from shelfline.session import pin
 
-#: Keys with more versions than this are matched by one ordered pass instead of a range condition.
+#: Keys with more versions than this are matched by one ordered pass instead of a range condition, if their
+#: versions do not overlap.  The result is the same either way.
 DENSE_VERSIONS = 256
 
 
@@ -27,17 +29,19 @@ def pit_join(
     dense: int = DENSE_VERSIONS,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Left join to the version valid at ``at`` (``valid_from <= at < valid_to``).
+    """Left join to every version valid at ``at`` (``valid_from <= at < valid_to``); a NULL key or bound never matches.
 
     ``take`` maps output names to version columns.  A key with few versions is an equi join with a range
-    condition.  For a key with many versions that would compare each fact with each version, so such keys
-    go through one ordered pass over facts and versions together.
+    condition.  For a key with many versions that would compare each fact with each version, so where at most one
+    version is valid at any time, facts and versions go through one ordered pass together.  Keys whose versions
+    overlap may have several matches and stay with the range condition.
     """
     # numbered versions tell with one column whether any key has many
     few = "version" in versions.columns and (versions.agg(F.max("version")).first()[0] or 0) <= dense
+    versions = versions.filter(F.col(key).isNotNull() & (F.col("valid_from") < F.col("valid_to")))
     versions = versions.select(key, "valid_from", "valid_to", *[F.col(c).alias(f"_v_{n}") for n, c in take.items()])
     facts = facts.withColumn("_at", at.cast(dict(versions.dtypes)["valid_from"]))
-    busy = None if few else heavy_keys(versions, [key], dense)
+    busy = None if few else _without_overlaps(versions, key, heavy_keys(versions, [key], dense), heavy_rows)
     if busy is None or busy.count == 0:
         return _range_match(facts, versions, key, take)
     busy_facts, calm_facts = split_heavy(facts, busy)
@@ -47,6 +51,17 @@ def pit_join(
     )
 
 
+def _without_overlaps(versions: DataFrame, key: str, busy: HeavyKeys, heavy_rows: int) -> HeavyKeys:
+    """Those of the busy keys whose versions follow each other."""
+    if busy.count == 0:
+        return busy
+    own = split_heavy(versions, busy)[0].select(key, "valid_from", "valid_to")
+    chained = ordered_scan(own, [key], ["valid_from", "valid_to"], upcoming={"_next": F.col("valid_from")}, heavy_rows=heavy_rows)
+    crossing = chained.filter(F.col("_next") < F.col("valid_to")).select(key).distinct()
+    kept = pin(busy.frame.join(crossing, key, "left_anti"), "busy-keys")
+    return HeavyKeys(busy.keys, kept, kept.count(), busy.rows)
+
+
 def _range_match(facts, versions, key, take) -> DataFrame:
     left, right = facts.alias("_f"), versions.alias("_v")
     valid = (F.col("_f._at") >= F.col("_v.valid_from")) & (F.col("_f._at") < F.col("_v.valid_to"))
@@ -87,11 +102,17 @@ def asof_join(
     heavy_rows: int = HEAVY_ROWS,
     heavy: HeavyKeys | None = None,
 ) -> DataFrame:
-    """Left join to the newest ``series`` row at or before ``at`` per key, in one ordered pass.  ``heavy`` passes a
-    count of the busy keys when a cheaper input than the facts can give it."""
-    columns = facts.columns
-    stream = facts.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.struct(*columns).alias("_fact")).unionByName(
-        series.select(
+    """Left join to the newest ``series`` row at or before ``at`` per key, in one ordered pass.  Of several series
+    rows at one instant the one with the largest taken values counts; a NULL key or instant never matches.
+    ``heavy`` passes a count of the busy keys when a cheaper input than the facts can give it."""
+    columns, kinds = facts.columns, dict(series.dtypes)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    stream = facts.filter(known).select(
+        *keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.struct(*columns).alias("_fact")
+    ).unionByName(
+        series.filter(known & F.col(series_at).isNotNull()).select(
             *keys,
             F.col(series_at).alias("_at"),
             F.lit(0).alias("_kind"),
@@ -99,10 +120,13 @@ def asof_join(
         ),
         allowMissingColumns=True,
     )
-    scanned = ordered_scan(stream, keys, ["_at", "_kind"], carry={"_hit": F.col("_value")}, heavy_rows=heavy_rows, heavy=heavy)
-    return scanned.filter("_kind = 1").select(
+    order = ["_at", "_kind", "_value"]
+    scanned = ordered_scan(stream, keys, order, carry={"_hit": F.col("_value")}, heavy_rows=heavy_rows, heavy=heavy)
+    matched = scanned.filter("_kind = 1").select(
         *[F.col(f"_fact.{c}").alias(c) for c in columns], *[F.col(f"_hit.{n}").alias(n) for n in take]
     )
+    keyless = facts.filter(~known).select(*columns, *[F.lit(None).cast(kinds[c]).alias(n) for n, c in take.items()])
+    return matched.unionByName(keyless)
 
 
 def join_fx(df: DataFrame, fx: DataFrame, day: str, currency: str = "currency") -> DataFrame:

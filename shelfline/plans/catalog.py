@@ -169,6 +169,18 @@ def pit_profile(v):
     return lookup.pit_join(purchases, v.profiles_scd2, "user_id", F.col("ts"), take, dense=16)
 
 
+@query
+def pit_overlaps(v):
+    """Every view of the user within two days before a purchase: intervals overlap and users have many."""
+    events = v.table("events")
+    purchases = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    views = events.filter("event_type = 'view'").select(
+        "user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("valid_from"), F.expr("ts + INTERVAL 2 DAYS").alias("valid_to")
+    )
+    found = lookup.pit_join(purchases, views, "user_id", F.col("ts"), {"view_id": "view_id"}, dense=4)
+    return found.select("event_id", "view_id")
+
+
 @query
 def asof_price(v):
     facts = sales.join_header(v.order_lines.select("order_id", "line_no", "sku"), v.orders.select("order_id", "order_date"))

@@ -158,3 +158,35 @@ def test_contiguity_finds_gap_and_overlap(spark):
     )
     broken = lookup.contiguity(prices, ["sku"]).filter("NOT is_contiguous")
     assert [r.sku for r in broken.orderBy("sku").collect()] == [2, 3]
+
+
+@pytest.mark.parametrize("dense", [1, 3, 256])
+def test_point_in_time_join_does_not_depend_on_the_number_of_versions(spark, dense):
+    rng = random.Random(11)
+    versions = [("A", 1, 100, "a"), ("A", 2, 3, "b"), ("A", 5, 9, "c"), (None, 0, 100, "o"), ("A", None, 50, "n"), ("A", 7, None, "m")]
+    versions += [("B", i, i + 2, f"b{i}") for i in range(0, 40, 4)] + [("B", 9, 9, "empty")]
+    versions += [("C", 3, 8, "x"), ("C", 3, 8, "x"), ("C", 8, 9, "y")]
+    versions += [("D", a, a + rng.randint(1, 9), f"d{a}") for a in rng.sample(range(40), 12)]
+    facts = [(i, k, t) for i, (k, t) in enumerate((k, t) for k in ("A", "B", "C", "D", "E", None) for t in [*range(-1, 45, 2), None])]
+    found = lookup.pit_join(
+        spark.createDataFrame(facts, "i int, k string, t int"),
+        spark.createDataFrame(versions, "k string, valid_from int, valid_to int, label string"),
+        "k",
+        F.col("t"),
+        {"label": "label"},
+        dense=dense,
+        heavy_rows=5,
+    )
+    want = []
+    for i, k, t in facts:
+        hits = [x for key, a, b, x in versions if k is not None and key == k and None not in (a, b, t) and a <= t < b]
+        want += [(i, k, t, x) for x in hits or [None]]
+    assert rows(found) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("heavy_rows", [2, 1000])
+def test_asof_join_ties_and_nulls(spark, heavy_rows):
+    facts = spark.createDataFrame([("a", 5), ("a", None), (None, 5), ("b", 1)], "k string, t int")
+    series = spark.createDataFrame([("a", 5, 1), ("a", 5, 3), ("a", 5, 2), ("a", None, 9), (None, 1, 8), ("b", 2, 4)], "k string, s int, p int")
+    found = lookup.asof_join(facts, series, ["k"], "t", "s", {"p": "p"}, heavy_rows)
+    assert rows(found) == sorted([("a", 5, 3), ("a", None, None), (None, 5, None), ("b", 1, None)], key=str)
