@@ -29,7 +29,7 @@ from shelfline.llm.hashing import mix, number, numbers, word_hashes, words_of
 #: Added to each count in the unigram estimate.
 ADDED = 0.1
 #: Weight of the unigram estimate in a state, in observations.
-STRENGTH = 4000.0
+STRENGTH = 300.0
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

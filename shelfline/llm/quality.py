@@ -21,8 +21,8 @@ LEAST_WORDS, BASE_WINDOW, BASE_PERCENT = 20, 8, 30
 NGRAM_PERCENT = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
 #: Highest percentage of characters in lines that equal an earlier line (published rule).
 LINE_PERCENT = 20
-#: Highest number of symbols for each hundred words.
-SYMBOL_PERCENT = 50
+#: Highest number of symbols for each hundred words (published rule).
+SYMBOL_PERCENT = 10
 SYMBOLS = b"#*$%&|<>"
 
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars", *[f"dup{n}_chars" for n in NGRAM_PERCENT]]

@@ -61,7 +61,7 @@ def quality(text):
             found["n_repeat_words"] = len(every)
     failed = len(w) < 20 or 100 * found["n_repeat_words"] > 30 * len(w)
     chars = found["word_chars"]
-    kept = not failed and 100 * line_chars <= 20 * chars and 100 * found["n_symbols"] <= 50 * len(w)
+    kept = not failed and 100 * line_chars <= 20 * chars and 100 * found["n_symbols"] <= 10 * len(w)
     limits = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
     kept = kept and all(100 * found[f"dup{n}_chars"] <= p * chars for n, p in limits.items())
     return found | {"base_failed": failed, "kept": kept}

@@ -2,6 +2,12 @@
 
 import random
 
+import pytest
+
+from shelfline.llm.catalog import prepared
+
+SMALL = "/root/testdata/sf0.001"
+
 #: Columns whose names operators use inside or add.
 CLASHING = "chunk string, rest string, size string, kept string, block int, shard string, n_words string"
 SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}"
@@ -29,3 +35,23 @@ def odd_docs():
     docs += [dict(docs[6]), {"doc_id": 18, "text": "another text of the same id", "source": "a"}, {"doc_id": None, "text": base, "source": "b"}]
     rng.shuffle(docs)
     return docs
+
+
+@pytest.fixture(scope="session")
+def llm(spark):
+    return prepared(spark)
+
+
+@pytest.fixture(scope="session")
+def small(llm):
+    return llm.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def small_rows(small):
+    return [r.asDict() for r in small.collect()]
+
+
+@pytest.fixture(scope="session")
+def odd():
+    return odd_docs()

@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import pytest
 import sentencepiece
-from llm_data import frame
+from llm_data import frame, llm, odd, small, small_rows  # noqa: F401
 
 import corpus_pipeline
 from shelfline.llm.catalog import PIECES, QUERIES

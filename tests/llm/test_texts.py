@@ -6,7 +6,7 @@ import zlib
 import brute
 import pytest
 import sentencepiece
-from llm_data import frame
+from llm_data import frame, llm, odd, small, small_rows  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
