@@ -1,4 +1,7 @@
-"""Order-independent content checksums."""
+"""Order-independent content checksums.
+
+Every value is marked as known or NULL, and carries its length where values are joined, so that no two different
+rows have the same text."""
 
 from __future__ import annotations
 
@@ -7,13 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Stands for NULL inside a hashed row, so that a NULL cannot move to another column unnoticed.
-NULL_MARK = "\u0000"
-
 
 def row_texts(columns: Sequence[str]) -> list[Column]:
-    """Every column as text, in name order."""
-    return [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL_MARK)) for c in sorted(columns)]
+    """Every column as text, in name order: ``=`` and the value, or ``~`` for NULL."""
+    return [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("~")) for c in sorted(columns)]
 
 
 def checksum(columns: Sequence[str]) -> Column:
@@ -23,7 +23,8 @@ def checksum(columns: Sequence[str]) -> Column:
 
 
 def portable_checksum(columns: Sequence[str]) -> Column:
-    """The same idea on the first 15 hex digits of md5, which other engines can repeat."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in sorted(columns)])
-    hashed = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    """The same idea on the first 15 hex digits of md5, which other engines can repeat.  For comparison with
+    those; two of our own tables are compared by ``checksum``."""
+    sized = [F.concat(F.length(text).cast("string"), text) for text in row_texts(columns)]
+    hashed = F.conv(F.substring(F.md5(F.concat(*sized)), 1, 15), 16, 10).cast("decimal(38,0)")
     return F.coalesce(F.sum(hashed), F.lit(0)).cast("decimal(38,0)")

@@ -20,9 +20,22 @@ HORIZON = 12
 SEASON = 52
 SERIES = ("country_code", "category")
 LAGS = (HORIZON, HORIZON + 1, HORIZON + 2, HORIZON + 3, SEASON)
-FEATURES = (
-    "lag_12 lag_13 lag_14 lag_15 lag_52 roll4_lag12 promo_lag12 temp_clim_c sin_woy cos_woy woy country_id category_id"
-).split()
+# Model inputs.
+FEATURES = [
+    "lag_12",
+    "lag_13",
+    "lag_14",
+    "lag_15",
+    "lag_52",
+    "roll4_lag12",
+    "promo_lag12",
+    "temp_clim_c",
+    "sin_woy",
+    "cos_woy",
+    "woy",
+    "country_id",
+    "category_id",
+]
 
 
 def last_full_week(demand: DataFrame) -> DataFrame:

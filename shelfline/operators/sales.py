@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +12,31 @@ from shelfline.operators.lookup import join_fx, join_standard_cost, pit_join
 
 CANCELLED = "Cancelled"
 
-FACT_COLUMNS = (
-    "order_id line_no order_date customer_id customer_sk country_code channel sku product_sk category qty_cases "
-    "volume_kg currency net_amount_lc gross_amount_eur net_amount_eur cogs_eur is_promo promo_id"
-).split()
+# Columns of the sales fact.
+FACT_COLUMNS = [
+    "order_id",
+    "line_no",
+    "order_date",
+    "customer_id",
+    "customer_sk",
+    "country_code",
+    "channel",
+    "sku",
+    "product_sk",
+    "category",
+    "qty_cases",
+    "volume_kg",
+    "currency",
+    "net_amount_lc",
+    "gross_amount_eur",
+    "net_amount_eur",
+    "cogs_eur",
+    "is_promo",
+    "promo_id",
+]
+
+#: What can be left out of the order lines: the version of the customer, and the standard cost.
+CUSTOMER, COST = "customer", "cost"
 
 
 def is_reportable() -> Column:
@@ -32,12 +55,14 @@ def sales_order_lines(
     products: DataFrame,
     fx: DataFrame,
     cost: DataFrame,
+    without: Collection[str] = (),
 ) -> DataFrame:
     """Order lines with header, customer and product version of the order date, rate and standard cost.
 
     Everything that depends on the header alone is attached to the headers, several times fewer than the
     lines, so the lines are shuffled once by order and once by SKU (versions and cost share that shuffle).
-    Cancelled and deleted orders stay, flagged.
+    Cancelled and deleted orders stay, flagged.  ``without`` names parts nobody reads (a left join that is not
+    known to be unique cannot be dropped by the optimizer): their columns and joins are left out.
     """
     headers = orders.select(
         "order_id",
@@ -49,14 +74,15 @@ def sales_order_lines(
         F.col("is_deleted").cast("boolean").alias("is_deleted"),
     )
     # the date is compared as midnight: an order on the day of a 14:00 change belongs to the old version
-    headers = pit_join(
-        headers, customers, "customer_id", F.col("order_date"), {"customer_sk": "customer_sk", "country_code": "country_code"}
-    )
+    version = {} if CUSTOMER in without else {"customer_sk": "customer_sk", "country_code": "country_code"}
+    if version:
+        headers = pit_join(headers, customers, "customer_id", F.col("order_date"), version)
     headers = join_fx(headers, fx, "order_date")
     joined = join_header(lines, headers)
     product = {"product_sk": "product_sk", "category": "category", "subcategory": "subcategory", "brand": "brand"}
     joined = pit_join(joined, products, "sku", F.col("order_date"), product | {"case_weight_kg": "case_weight_kg"})
-    joined = join_standard_cost(joined, cost, "order_date")
+    if COST not in without:
+        joined = join_standard_cost(joined, cost, "order_date")
     qty = F.col("qty_cases")
     gross = qty * F.col("list_price_case")
     return joined.select(
@@ -64,8 +90,7 @@ def sales_order_lines(
         "line_no",
         "order_date",
         "customer_id",
-        "customer_sk",
-        "country_code",
+        *version,
         "channel",
         "sku",
         *product,
@@ -78,7 +103,7 @@ def sales_order_lines(
         "rate_per_eur",
         to_base_currency(gross, F.col("rate_per_eur")).alias("gross_amount_eur"),
         to_base_currency(F.col("net_amount"), F.col("rate_per_eur")).alias("net_amount_eur"),
-        money(qty * F.col("std_cost_eur_case")).alias("cogs_eur"),
+        *([] if COST in without else [money(qty * F.col("std_cost_eur_case")).alias("cogs_eur")]),
         (qty * F.col("case_weight_kg")).cast(WEIGHT).alias("volume_kg"),
         "promo_id",
         F.col("promo_id").isNotNull().alias("is_promo"),
@@ -89,9 +114,8 @@ def sales_order_lines(
 
 
 def join_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
-    """Lines with their header, inner: lines without one vanish and are counted by the checks.  Both sides are
-    large, so the join sorts and merges (splitting skewed orders) and never builds a table of the lines."""
-    return lines.hint("merge").join(headers, "order_id")
+    """Lines with their header, inner: lines without one vanish and are counted by the checks."""
+    return lines.join(headers, "order_id")
 
 
 def fact_sales(lines: DataFrame) -> DataFrame:

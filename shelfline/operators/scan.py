@@ -3,7 +3,7 @@
 A window partitioned by an entity key puts the whole history of that entity into one task.  When one
 entity owns a large part of the log this task never ends.  ``ordered_scan`` first counts rows per key
 (one column-pruned aggregate).  With no heavy key it is an ordinary window.  Otherwise the rows of heavy
-keys are range-partitioned by (key, order) into slices of bounded size, scanned slice by slice, and the
+keys are range-partitioned by (key, order) into slices, scanned slice by slice, and the
 slices are linked through one summary row each.
 """
 
@@ -20,8 +20,8 @@ from shelfline.session import pin
 
 #: A key with more rows than this is scanned in slices of about this many rows.
 HEAVY_ROWS = 2_000_000
-#: A key list longer than this is joined by shuffle instead of broadcast.
-BROADCAST_KEYS = 1_000_000
+#: Slices of the heavy rows for each core, at most.
+SLICES_PER_CORE = 8
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -53,9 +53,8 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], limit: int = HEAVY_ROWS, rows
 
 
 def split_heavy(df: DataFrame, heavy: HeavyKeys) -> tuple[DataFrame, DataFrame]:
-    """(rows of heavy keys, the other rows).  The key list is broadcast only when it is short."""
-    listed = F.broadcast(heavy.frame) if heavy.count <= BROADCAST_KEYS else heavy.frame
-    left, right = df.alias("_l"), listed.alias("_r")
+    """(rows of heavy keys, the other rows).  Spark broadcasts the stored key list when its size allows."""
+    left, right = df.alias("_l"), heavy.frame.alias("_r")
     condition = same_keys("_l", "_r", heavy.keys)
     return left.join(right, condition, "left_semi"), left.join(right, condition, "left_anti")
 
@@ -84,7 +83,7 @@ def ordered_scan(
     if heavy.count == 0:
         return _scan(df, keys, order, carry, upcoming, running)
     hot, cold = split_heavy(df, heavy)
-    slices = math.ceil(heavy.rows / heavy_rows)
+    slices = min(math.ceil(heavy.rows / heavy_rows), SLICES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
     return _scan(cold, keys, order, carry, upcoming, running).unionByName(
         _sliced_scan(hot, keys, order, carry, upcoming, running, slices)
     )
@@ -124,7 +123,7 @@ def _sliced_scan(df, keys, order, carry, upcoming, running, slices) -> DataFrame
 
     joined = local.alias("_l").join(
         # one row per (heavy key, slice): at most heavy keys + slices rows
-        F.broadcast(linked).alias("_r"),
+        linked.alias("_r"),
         same_keys("_l", "_r", [*keys, "_slice"]),
         "left",
     )

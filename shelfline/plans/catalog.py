@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,12 +66,19 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # shared intermediate frames (plans, not data) -----------------------------------------------------------------
 
 
-def lines_of(v: DriverViews) -> DataFrame:
-    return sales.sales_order_lines(v.order_lines, v.orders, v.customers_scd2, v.products_scd2, v.fx, v.standard_cost)
+def lines_of(v: DriverViews, *without: str) -> DataFrame:
+    return sales.sales_order_lines(
+        v.order_lines, v.orders, v.customers_scd2, v.products_scd2, v.fx, None if sales.COST in without else v.standard_cost, without
+    )
+
+
+def monthly_of(v: DriverViews, *without: str) -> DataFrame:
+    return marts.mart_sales_monthly(lines_of(v, *without), v.fx, BASE_YEAR)
 
 
-def monthly_of(v: DriverViews) -> DataFrame:
-    return marts.mart_sales_monthly(lines_of(v), v.fx, BASE_YEAR)
+def stored_monthly_of(v: DriverViews) -> DataFrame:
+    """The mart as a table, for measures that read it several times."""
+    return pin(monthly_of(v), "sales-monthly")
 
 
 def conformed_of(v: DriverViews) -> DataFrame:
@@ -83,19 +91,17 @@ def weekly_sellout_of(v: DriverViews) -> DataFrame:
 
 
 def sellin_sellout_of(v: DriverViews, lines: DataFrame | None = None) -> DataFrame:
-    sell_in = marts.weekly_sell_in(lines_of(v) if lines is None else lines, v.distributors, "distributor_id")
+    lines = lines_of(v, sales.CUSTOMER, sales.COST) if lines is None else lines
+    sell_in = marts.weekly_sell_in(lines, v.distributors, "distributor_id")
     return marts.mart_sellin_sellout_weekly(sell_in, marts.weekly_sell_out(weekly_sellout_of(v)), v.distributors)
 
 
 def demand_of(v: DriverViews) -> DataFrame:
-    return marts.mart_demand_weekly(lines_of(v), series.weather_daily(v.weather_raw), series.inflation_monthly(v.inflation_raw))
+    return marts.mart_demand_weekly(lines_of(v, sales.COST), series.weather_daily(v.weather_raw), series.inflation_monthly(v.inflation_raw))
 
 
 def promo_of(v: DriverViews) -> DataFrame:
-    countries = v.countries.join(v.regions, "country_code").select(
-        F.col("country_code").alias("customer_id"), "country_code", F.col("region").alias("channel")
-    )
-    return marts.mart_promo_performance(lines_of(v), sales.typed_promotions(v.promotions), countries, "country_code")
+    return marts.mart_promo_performance(lines_of(v, sales.CUSTOMER), sales.typed_promotions(v.promotions), v.customers)
 
 
 def features_of(v: DriverViews) -> DataFrame:
@@ -109,7 +115,7 @@ def features_of(v: DriverViews) -> DataFrame:
 
 @query
 def growth_bridge(v):
-    return marts.growth_bridge(monthly_of(v), LAST_MONTH)
+    return marts.growth_bridge(monthly_of(v, sales.COST), LAST_MONTH)
 
 
 @query
@@ -119,7 +125,7 @@ def sales_monthly(v):
 
 @query
 def sales_yearly(v):
-    return sales.sales_yearly(lines_of(v))
+    return sales.sales_yearly(lines_of(v, sales.CUSTOMER))
 
 
 @query
@@ -344,7 +350,7 @@ def sellout_clean(v):
 
 @query
 def sellout_rejects(v):
-    return sellout.rejected_rows(conformed_of(v))
+    return sellout.rejected_rows(conformed_of(v)).drop("_rejected_at")
 
 
 @query
@@ -383,12 +389,12 @@ def demand_weekly(v):
 
 @query
 def yoy_pivot(v):
-    return stories.yoy_pivot(monthly_of(v), "category", "net_sales_cfx_eur", (1999, 2000))
+    return stories.yoy_pivot(monthly_of(v, sales.COST), "category", "net_sales_cfx_eur", (1999, 2000))
 
 
 @query
 def ytd_growth(v):
-    return stories.ytd_growth(monthly_of(v), LAST_MONTH)
+    return stories.ytd_growth(monthly_of(v, sales.COST), LAST_MONTH)
 
 
 @query
@@ -409,7 +415,7 @@ def spike_ratio(v):
 
 @query
 def story_checks(v):
-    bridge = marts.growth_bridge(monthly_of(v), LAST_MONTH)
+    bridge = marts.growth_bridge(monthly_of(v, sales.COST), LAST_MONTH)
     year = lambda y, c: F.max(F.when(F.col("year") == y, F.col(c)))
     return stories.story_checks(
         bridge,
@@ -526,6 +532,24 @@ def naive_gap(v):
     return reconcile.naive_gap(lines, sales.is_reportable(), "net_amount")
 
 
+@query
+def check_log_of_runs(v):
+    """The engine's own checks of two runs appended to one log; the rows of the newest run, without its time."""
+    path = scratch(v.spark, "dq-results")
+    started = runlog.utc_now()
+    for run, checks in enumerate((quality.event_checks(*_pos_batch(v)), quality.orphan_check(v.order_lines, v.orders))):
+        tables.append_table(runlog.stamped(checks, f"run-{run}", started + dt.timedelta(seconds=run)), path)
+    newest = dedup.rows_of_newest_run(v.spark.read.parquet(path), "checked_at")
+    return rounded(newest.drop("checked_at"))
+
+
+@query
+def dim_bridge_step(v):
+    """Bridge steps with the years they are shown for."""
+    years = v.order_span.select(F.explode(F.sequence(F.year("first_day"), F.year("last_day"))).alias("year"))
+    return years.join(F.broadcast(marts.dim_bridge_step(v.spark)))
+
+
 @query
 def pass_rate(v):
     return reconcile.pass_rate(v.check_log)
@@ -576,12 +600,12 @@ def table_counts(v):
 
 @query
 def kpi_sales(v):
-    return rounded(kpi.sales_kpis(monthly_of(v), ["country_code"]))
+    return rounded(kpi.sales_kpis(stored_monthly_of(v), ["country_code"]))
 
 
 @query
 def kpi_sales_monthly(v):
-    return rounded(kpi.sales_kpis(monthly_of(v), ["category"], month_of))
+    return rounded(kpi.sales_kpis(stored_monthly_of(v), ["category"], month_of))
 
 
 @query
@@ -590,17 +614,17 @@ def kpi_star(v):
         "country_code": (v.countries.join(v.regions, "country_code"), "country_code", ["region"]),
         "sku": (v.products, "sku", ["brand"]),
     }
-    return rounded(kpi.sales_kpis(kpi.star(monthly_of(v), dims), ["region", "brand"]))
+    return rounded(kpi.sales_kpis(kpi.star(stored_monthly_of(v), dims), ["region", "brand"]))
 
 
 @query
 def kpi_bridge_steps(v):
-    return rounded(kpi.bridge_steps(kpi.sales_kpis(monthly_of(v), ["category"]), ["category", "period"]))
+    return rounded(kpi.bridge_steps(kpi.sales_kpis(stored_monthly_of(v), ["category"]), ["category", "period"]))
 
 
 @query
 def kpi_share(v):
-    sums = kpi.sales_kpis(monthly_of(v), ["channel"]).select("channel", "period", "net_sales")
+    sums = kpi.sales_kpis(stored_monthly_of(v), ["channel"]).select("channel", "period", "net_sales")
     return rounded(kpi.share_of_total(sums, ["period"], "net_sales", "share"))
 
 
@@ -609,11 +633,31 @@ def kpi_forecast(v):
     return rounded(kpi.forecast_kpis(forecast.seasonal_naive(features_of(v)), ["category"]))
 
 
+#: What the monthly mart and the weekly sell-in read of the order lines.
+SELL_IN_COLUMNS = [
+    "order_date",
+    "country_code",
+    "channel",
+    "sku",
+    "category",
+    "qty_cases",
+    "volume_kg",
+    "currency",
+    "net_amount_lc",
+    "gross_amount_eur",
+    "net_amount_eur",
+    "is_promo",
+    "order_status",
+    "is_deleted",
+    "distributor_id",
+]
+
+
 @query
 def kpi_sellout(v):
     # order lines feed both marts: written once, read twice
-    lines = pin(lines_of(v))
-    monthly = marts.mart_sales_monthly(lines, v.fx, BASE_YEAR)
+    lines = pin(lines_of(v, sales.COST).select(*SELL_IN_COLUMNS), "sell-in")
+    monthly = pin(marts.mart_sales_monthly(lines, v.fx, BASE_YEAR), "sales-monthly")
     return rounded(kpi.sellout_kpis(sellin_sellout_of(v, lines), monthly, ["country_code"]))
 
 

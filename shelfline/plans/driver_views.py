@@ -59,21 +59,13 @@ def net_amount() -> Column:
 
 
 def ean_of(number: Column) -> Column:
-    """Barcode of an item number, by integer arithmetic.  Prefix 7609 carries the first hundred million items,
-    the next ones get a range of their own."""
-    body = number.cast("bigint") + F.when(number < 100_000_000, 760_900_000_000).otherwise(800_000_000_000)
+    """Barcode of an item number, by integer arithmetic: numbers count on from 7609 0000 0000."""
+    body = number.cast("bigint") + 760_900_000_000
     digit = lambda place: F.call_function("div", body, F.lit(10**place)) % 10
     weighted = sum((digit(p) * (3 if p % 2 == 0 else 1) for p in range(12)), F.lit(0))
     return text(body * 10 + (10 - weighted % 10) % 10)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row work on an input with fewer splits than cores; a large input has enough
-    splits of its own and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def entries(*rows: tuple[Column, dict[str, Column]]) -> Column:
     """Array of the audit entries whose condition holds."""
     made = [F.when(use, F.struct(*[v.alias(n) for n, v in fields.items()])) for use, fields in rows]
@@ -197,6 +189,9 @@ class DriverViews:
             (6 + (size % 4) * 6).alias("units_per_case"),
             ((10 + size) * per_step).cast("decimal(9,2)").alias("case_weight_kg"),
             ean_of(k).alias("ean"),
+            F.when(k % 20 == 0, "Discontinued").otherwise("Active").alias("status"),
+            F.date_add(F.lit("1990-01-01").cast("date"), (k % 1000).cast("int")).alias("launch_date"),
+            F.when(k % 20 == 0, F.lit("2000-12-31").cast("date")).alias("discontinued_date"),
             instant(PRODUCT_START).alias("valid_start"),
         )
 
@@ -300,20 +295,18 @@ class DriverViews:
 
     @cached_property
     def promotions(self) -> DataFrame:
-        """One promotion per 97th order, run for the whole country and one category."""
+        """One promotion per order, run with its customer for one category; every 50th ends before it starts."""
         k = F.col("o_orderkey")
-        customer = self.table("customer").select("c_custkey", "c_nationkey")
-        joined = self.table("orders").filter(k % 97 == 0).join(customer, F.col("o_custkey") == F.col("c_custkey"))
         start, weeks = week_of(F.col("o_orderdate").cast("date")), (1 + k % 3).cast("int")
         discount = (10 + 5 * (k % 5)).cast("decimal(5,0)") * F.lit("0.01").cast("decimal(3,2)")
-        return joined.select(
+        return self.table("orders").select(
             F.concat(F.lit("P"), text(k)).alias("promo_id"),
-            text("c_nationkey").alias("customer_id"),
+            text("o_custkey").alias("customer_id"),
             pick(CATEGORIES, k % 6).alias("category"),
             F.concat(F.lit("mechanic "), text(k % 3)).alias("mechanic"),
             discount.alias("discount_pct"),
             start.alias("start_date"),
-            F.date_add(start, 7 * weeks - 1).alias("end_date"),
+            F.when(k % 50 == 0, F.date_sub(start, 8)).otherwise(F.date_add(start, 7 * weeks - 1)).alias("end_date"),
             weeks.alias("duration_weeks"),
             (discount * 400).alias("planned_uplift_pct"),
         )
@@ -335,17 +328,17 @@ class DriverViews:
 
     @cached_property
     def order_days(self) -> DataFrame:
-        return self.table("orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct()
+        """Stored: the calendar and everything that follows from it is read many times."""
+        return pin(self.table("orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct(), "order-days")
 
     @cached_property
     def order_span(self) -> DataFrame:
         """First and last order day, one row."""
-        day = F.col("o_orderdate").cast("date")
-        return self.table("orders").agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+        return self.order_days.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
     @cached_property
     def fx(self) -> DataFrame:
-        return fx_daily(self.published_rates(self.order_days))
+        return pin(fx_daily(self.published_rates(self.order_days)), "rates")
 
     @cached_property
     def event_fx(self) -> DataFrame:
@@ -431,7 +424,7 @@ class DriverViews:
         stock = text(F.col("l_quantity").cast("int") * 3)
         ean, line = F.col("_ean"), F.col("l_linenumber")
         used = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_shipdate".split()
-        items = spread(self.table("lineitem").select(*used)).withColumn("_ean", ean_of(F.col("l_partkey")))
+        items = self.table("lineitem").select(*used).withColumn("_ean", ean_of(F.col("l_partkey")))
         rows = items.select(
             layout.alias("layout"),
             F.when(dirt == 10, "C999999")

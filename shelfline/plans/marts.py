@@ -31,7 +31,18 @@ def dim_country(countries: DataFrame, regions: DataFrame) -> DataFrame:
 
 def dim_product(products: DataFrame) -> DataFrame:
     return current_versions(products).select(
-        "sku", "product_name", "brand", "category", "pack_size", "units_per_case", "case_weight_kg", "ean"
+        "sku",
+        "product_name",
+        "brand",
+        "category",
+        "subcategory",
+        "pack_size",
+        "units_per_case",
+        "case_weight_kg",
+        "ean",
+        "status",
+        "launch_date",
+        "discontinued_date",
     )
 
 
@@ -76,8 +87,8 @@ def mart_sales_monthly(lines: DataFrame, fx: DataFrame, base_year: int) -> DataF
             tonnes(F.col("volume_kg")).alias("volume_t"),
             total(F.col("gross_amount_eur")).alias("gross_sales_eur"),
             total(F.col("net_amount_eur")).alias("net_sales_eur"),
-            total(at_base, 2, kept=6).alias("net_sales_cfx_eur"),
-            total(F.col("cogs_eur")).alias("cogs_eur"),
+            F.round(F.sum(at_base), 2).alias("net_sales_cfx_eur"),
+            *[total(F.col(c)).alias(c) for c in ("cogs_eur",) if c in lines.columns],
             F.coalesce(total(F.when(F.col("is_promo"), F.col("net_amount_eur"))), F.lit(0.0)).alias("promo_net_sales_eur"),
             F.count(F.lit(1)).alias("order_lines"),
         )
@@ -176,9 +187,9 @@ def mart_promo_performance(
         return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
 
     first_monday = week_of(F.date_add(F.col("start_date"), 6 - 7 * BASELINE_WEEKS))
-    spread = promotions.filter(F.col("end_date") >= F.col("start_date")).withColumn(
-        "week_start", F.explode(F.sequence(first_monday, F.col("end_date"), F.expr("INTERVAL 7 DAYS")))
-    )
+    # a promotion that ends before it starts keeps its baseline and has no volume of its own
+    last_day = F.greatest(F.col("end_date"), F.date_sub("start_date", 1))
+    spread = promotions.withColumn("week_start", F.explode(F.sequence(first_monday, last_day, F.expr("INTERVAL 7 DAYS"))))
     during = F.col("week_start") >= F.col("start_date")
     before = ~during
     per_promo = (
@@ -258,7 +269,7 @@ def mart_pos_daily(events: DataFrame, products: DataFrame, fx: DataFrame) -> Dat
     revenue = ratio(sign * F.col("quantity") * F.col("unit_price"), F.col("rate_per_eur"))
     return priced.groupBy("event_date", "country", "retailer_id", "category").agg(
         F.sum((sign * F.col("quantity")).cast("long")).alias("net_units"),
-        total(revenue, 2, kept=6).alias("net_revenue_eur"),
+        F.round(F.sum(revenue), 2).alias("net_revenue_eur"),
         F.count(F.lit(1)).alias("events"),
         F.count("device").alias("events_with_device"),
     )

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators.dedup import dedup_exact, unseen
-from shelfline.operators.runlog import log_row
+from shelfline.operators.runlog import Step
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -103,11 +102,11 @@ def build(
     spark: SparkSession, root: str, layer: str, name: str, df: DataFrame, run_id: str, step: str, log_path: str | None = None
 ) -> DataFrame:
     """Write a table, log the step with its row count, return the written table."""
-    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    doing = Step(run_id, layer, step, f"{layer}.{name}")
     path = table_path(root, layer, name)
     rows = write_table(df, path)
     if log_path:
-        append_table(log_row(spark, run_id, layer, step, f"{layer}.{name}", rows, started), log_path)
+        append_table(doing.outcome(spark, rows), log_path)
     return spark.read.parquet(path)
 
 
@@ -122,13 +121,13 @@ def snapshot_all(
 ) -> None:
     """Full reload of source tables into bronze.  A table that fails is logged and the rest go on."""
     for name, reader in readers.items():
-        started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows, error = 0, None
+        doing = Step(run_id, "bronze", step, f"bronze.{name}")
         try:
             rows = write_table(with_provenance(reader(), f"{label}/{name}"), table_path(root, "bronze", name))
+            told = doing.outcome(spark, rows)
         except Exception as problem:  # noqa: BLE001 - the log carries the failure
-            error = problem
-        append_table(log_row(spark, run_id, "bronze", step, f"bronze.{name}", rows, started, error=error), log_path)
+            told = doing.outcome(spark, problem=problem)
+        append_table(told, log_path)
 
 
 def comment_on(spark: SparkSession, table: str, text: str, column: str | None = None) -> None:
