@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import brute
+import numpy as np
 import pytest
 import sentencepiece
 from llm_data import frame, llm, odd, small, small_rows  # noqa: F401
@@ -100,13 +101,24 @@ def test_pieces_as_the_library(llm, small, small_rows, odd):
         assert all(r.decoded_sha256 == brute.sha(r.decoded) for r in pieces.encode_decode(table, PIECES).collect())
 
 
+@pytest.mark.parametrize("together", [0, 10**9])
+def test_both_forms_of_the_agenda(monkeypatch, small_rows, together):
+    monkeypatch.setattr(pieces, "TOGETHER", together)
+    known = pieces.Vocabulary(PIECES)
+    texts = [d["text"][:3000] for d in small_rows[:60]] + ["a" * 500, "日本" * 200, "hello" * 99, "zqzq" * 120]
+    assert [np.frombuffer(e.ids, np.int32).tolist() for e in known.encode(texts)] == known.library.encode(texts)
+
+
 def test_pieces_forget_and_refuse(monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 5)
     known = pieces.Vocabulary(PIECES)
     texts = ["a b c d e f g", "  spaces   inside ", "line\nbreak\ttab", "日本語 😀", ""]
     for _ in range(2):
-        assert list(known.encode(texts)) == known.library.encode(texts)
-    monkeypatch.setattr(known, "merged", lambda s: (1,))
+        found = list(known.encode(texts))
+        assert [np.frombuffer(e.ids, np.int32).tolist() for e in found] == known.library.encode(texts)
+        assert [e.text for e in found] == known.library.decode(known.library.encode(texts))
+        assert [e.decimals for e in found] == [",".join(map(str, ids)) for ids in known.library.encode(texts)]
+    monkeypatch.setattr(known, "merged", lambda segments: [[1] for _ in segments])
     with pytest.raises(ValueError, match="differs"):
         list(known.encode(["quite new words"]))
 
