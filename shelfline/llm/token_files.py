@@ -8,7 +8,9 @@ the attempt, then renamed, so a repeated task leaves one whole file.  Readers ma
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,35 +25,49 @@ from tokenizers import Tokenizer
 from shelfline.llm import chunks as C
 from shelfline.session import pin, scratch
 
-#: Words a worker remembers; about 100 MB.
-REMEMBERED = 600_000
+#: Words, and parts of words, that a worker remembers; about 60 MB each.
+REMEMBERED = 400_000
 #: Stands for a null document id in ``.docs``.
 NO_ID = np.iinfo(np.int64).min
 MANIFEST = "shard int, path string, width int, n_docs long, n_ids long"
 
 
 class WordEncoder:
-    """Ids of a text word by word.  For tokenizers whose pre-tokens never span white space; each distinct word is
-    encoded by the library once per worker."""
+    """Ids of a text word by word.  For tokenizers whose pre-tokens never span white space, nor a letter and the
+    closing punctuation behind it; each distinct word without its punctuation is encoded by the library once per
+    worker."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
         self.library = Tokenizer.from_file(path)
         size = self.library.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, list(words)
-        found = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, encoding in zip(new, found):
-            self.known[word] = np.array(encoding.ids, dtype=self.kind).tobytes()
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words, new = {}, list(words)
+        cut = []
+        for word in new:
+            core = word.rstrip(b",.;:!?")
+            # a mark behind anything but a letter may belong to a longer run of marks
+            cut.append((core, word[len(core) :]) if core[-1:].isalpha() else (word, b""))
+        parts = {p for pair in cut for p in pair if p not in self.parts}
+        if len(self.parts) + len(parts) > REMEMBERED:
+            self.parts, parts = {}, {p for pair in cut for p in pair}
+        listed = list(parts)
+        found = self.library.encode_batch_fast([p.decode() for p in listed], add_special_tokens=False)
+        for part, encoding in zip(listed, found):
+            self.parts[part] = array(self.kind.char, encoding.ids).tobytes()
+        for word, (core, marks) in zip(new, cut):
+            self.words[word] = self.parts[core] + self.parts[marks]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         self.learn(set().union(*split))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
 
 @lru_cache(maxsize=2)
