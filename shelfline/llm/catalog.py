@@ -62,7 +62,8 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Log-probabilities of all texts under a model of nine tenths of them."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
-    return score_texts(documents(spark, folder), held_out)
+    rounded = {c: F.round(c, 6) for c in ("base_score", "score")}
+    return score_texts(documents(spark, folder), held_out).withColumns(rounded)
 
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,4 +27,143 @@ SELECT s.doc_id, len(s.words)::BIGINT AS n_words, (len(s.words) - coalesce(k.n,
 FROM split s LEFT JOIN kept k USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_substring_dedup": OP1}
+OP2 = rf"""
+WITH split AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents
+),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM split),
+runs AS (
+    SELECT doc_id, n, p, array_to_string(words[p:p + n - 1], ' ') AS run
+    FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS p FROM split CROSS JOIN (SELECT unnest(range(5, 11)) AS n))
+),
+counted AS (
+    SELECT doc_id, n, p, count(*) OVER (PARTITION BY doc_id, n, run) AS times,
+           row_number() OVER (PARTITION BY doc_id, n, run ORDER BY p) AS turn
+    FROM runs
+),
+later AS (SELECT DISTINCT doc_id, n, unnest(range(p, p + n)) AS p FROM counted WHERE turn > 1),
+chars AS (SELECT doc_id, n, sum(length(word))::BIGINT AS chars FROM later JOIN placed USING (doc_id, p) GROUP BY ALL),
+wide AS (
+    SELECT doc_id, {", ".join(f"max(chars) FILTER (n = {n}) AS dup{n}_chars" for n in range(5, 11))} FROM chars GROUP BY doc_id
+),
+repeated AS (
+    SELECT doc_id, count(*) AS n_repeat_words
+    FROM (SELECT DISTINCT doc_id, unnest(range(p, p + 8)) FROM counted WHERE n = 8 AND times > 1) GROUP BY doc_id
+),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM split),
+again AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS turn FROM lines),
+line_sums AS (
+    SELECT doc_id, count(*) AS n_dup_lines, sum(length(array_to_string(regexp_extract_all(line, '{WORD}'), '')))::BIGINT AS dup_line_chars
+    FROM again WHERE turn > 1 AND regexp_matches(line, '{WORD}') GROUP BY doc_id
+),
+figures AS (
+    SELECT s.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(dup_line_chars, 0) AS dup_line_chars,
+           {", ".join(f"coalesce(dup{n}_chars, 0) AS dup{n}_chars" for n in range(5, 11))}
+    FROM split s LEFT JOIN line_sums USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN wide USING (doc_id)
+),
+base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM figures)
+SELECT *, NOT base_failed AND 100 * dup_line_chars <= 20 * word_chars AND 100 * n_symbols <= 10 * n_words
+       AND {" AND ".join(f"100 * dup{n}_chars <= {20 - n} * word_chars" for n in range(5, 11))} AS kept
+FROM base
+"""
+
+LOWER = f"translate(coalesce(text, ''), '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"
+
+OP5 = rf"""
+WITH texts AS (
+    SELECT doc_id, list_append(regexp_extract_all({LOWER}, '{WORD}'), ' end') AS tokens,
+           xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+               lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::UBIGINT FOR x IN range(8)]),
+                   lambda a, b: xor(a >> 1, 3988292384::UBIGINT * (a & 1)))), 4294967295::UBIGINT) % 10 = 0 AS held_out
+    FROM documents
+),
+steps AS (
+    SELECT doc_id, held_out, unnest(tokens) AS token, unnest(list_prepend(' start', tokens[:-2])) AS before FROM texts
+),
+ones AS (SELECT token, count(*) AS c FROM steps WHERE NOT held_out GROUP BY token),
+twos AS (SELECT before, token, count(*) AS c FROM steps WHERE NOT held_out GROUP BY ALL),
+states AS (SELECT token AS before, c FROM ones UNION ALL SELECT ' start', c FROM ones WHERE token = ' end'),
+whole AS (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM ones),
+weighed AS (
+    SELECT doc_id, held_out, coalesce(o.c, 0) AS c, coalesce(t.c, 0) AS pair, coalesce(h.c, 0) AS state, n,
+           (coalesce(o.c, 0) + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)) AS p
+    FROM steps s CROSS JOIN whole LEFT JOIN ones o USING (token) LEFT JOIN twos t ON t.before = s.before AND t.token = s.token
+    LEFT JOIN states h ON h.before = s.before
+)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known, n AS train_tokens,
+       round(sum(log10(p)), 6) AS base_score, round(sum(log10((pair + 300 * p) / (state + 300))), 6) AS score
+FROM weighed GROUP BY doc_id, held_out, n
+"""
+
+OP9 = rf"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
+           md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS key
+    FROM documents
+),
+totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS line FROM sized GROUP BY source
+),
+weighed AS (
+    SELECT *, ([3.0, 1.0, 2.0])[(line - 1) % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap,
+           1.5::DOUBLE * sum(source_size) OVER () AS words
+    FROM totals
+),
+-- the level of water: a source is full when what the emptier ones leave would lift it over its cap
+filled AS (
+    SELECT *, (words - coalesce(sum(cap) OVER (ORDER BY cap / weight, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight
+              >= cap * sum(weight) OVER (ORDER BY cap / weight, line ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS full_up
+    FROM weighed
+),
+targets AS (
+    SELECT source, line, source_size,
+           CASE WHEN full_up THEN cap
+                ELSE (words - sum(CASE WHEN full_up THEN cap ELSE 0 END) OVER ()) * weight / sum(CASE WHEN full_up THEN 0 ELSE weight END) OVER ()
+           END AS target
+    FROM filled
+),
+docs AS (
+    SELECT d.*, t.line, t.source_size, t.target, left(key, 2) AS block, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS rounds
+    FROM sized d JOIN targets t ON t.source IS NOT DISTINCT FROM d.source
+),
+blocks AS (
+    SELECT line, block, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY line ORDER BY md5(line || ':' || block), block) - sum(size) AS before
+    FROM docs GROUP BY line, block
+),
+offers AS (
+    SELECT d.*, b.words AS block_words, target - rounds * source_size - before AS rest,
+           sum(size) OVER (PARTITION BY d.line, d.block ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS upto
+    FROM docs d JOIN blocks b ON b.line = d.line AND b.block = d.block
+)
+SELECT doc_id, size, source_size, target,
+       (size * (rounds + CASE WHEN rest > 0 AND (rest >= block_words OR 2 * upto - size <= 2 * rest) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM offers
+"""
+
+OP10 = rf"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORD}') AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(words) = 1 THEN words[1] ELSE words[p] || ' ' || words[p + 1] END AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words), least(len(words), 1) + 1))) AS p FROM split)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, seen) AS (SELECT a, b FROM ways UNION SELECT r.id, b.b FROM reach r JOIN ways b ON b.a = r.seen),
+lowest AS (SELECT id AS doc_id, min(seen) AS low FROM reach GROUP BY id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1,
+    "op2_quality_rules": OP2,
+    "op5_lm_scoring": OP5,
+    "op9_source_mixing": OP9,
+    "op10_minhash_near_dedup": OP10,
+}
