@@ -13,8 +13,8 @@ so an arc weighs log10 p(w | h) and a failure log10 (k / (c(h) + k)); the probab
 
 Counts come from the whole training part.  Each chunk of documents sends its distinct tokens and pairs with
 their counts to buckets of the key space, gets the corpus-wide counts of just these back, and builds the part of
-the automaton that its own texts can reach.  No vocabulary is broadcast, whatever its size.  Keys are 64-bit
-hashes."""
+the automaton that its own texts can reach.  No vocabulary is broadcast, whatever its size.  Tokens go by
+64-bit hashes, pairs by 48 bits beyond the bucket number."""
 
 from __future__ import annotations
 
@@ -37,6 +37,19 @@ ASK = "bucket int, chunk int, kind int, keys binary, counts binary"
 ANSWER = "chunk int, bucket int, kind int, counts binary, total long, distinct long"
 
 
+def _packed(keys: np.ndarray, kind: int) -> bytes:
+    """Keys of a bucket.  Of pairs, 48 bits beyond the bucket number do: there are many, and each counts little."""
+    return keys.tobytes() if kind == 1 else keys.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(blob: bytes, kind: int) -> np.ndarray:
+    if kind == 1:
+        return np.frombuffer(blob, dtype="<u8")
+    wide = np.zeros((len(blob) // 6, 8), dtype=np.uint8)
+    wide[:, :6] = np.frombuffer(blob, dtype=np.uint8).reshape(-1, 6)
+    return wide.reshape(-1).view("<u8")
+
+
 class _Tokens:
     """Tokens and pairs of a chunk: distinct keys, the slot of each position, and counts in training texts."""
 
@@ -98,7 +111,7 @@ def score_texts(docs: DataFrame, held_out, strength: float = STRENGTH, chunk_cha
             cuts = C.cut_points(C.bucket_of(key, buckets), buckets)
             for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if b > a or kind == 1:  # every bucket of tokens is asked, as each tells its share of N and V
-                    rows.append((bucket, chunk, kind, key[a:b].tobytes(), number(tokens.counts[kind][a:b])))
+                    rows.append((bucket, chunk, kind, _packed(key[a:b], kind), number(tokens.counts[kind][a:b])))
         kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "chunk", "kind", "keys", "counts"])
 
@@ -107,7 +120,7 @@ def score_texts(docs: DataFrame, held_out, strength: float = STRENGTH, chunk_cha
         kinds = np.array(table.column("kind").to_pylist())
         for kind in np.unique(kinds).tolist():
             own = table.filter(pa.array(kinds == kind))
-            keys = [np.frombuffer(k, dtype="<u8") for k in own.column("keys").to_pylist()]
+            keys = [_unpacked(k, kind) for k in own.column("keys").to_pylist()]
             counts = np.concatenate([numbers(c) for c in own.column("counts").to_pylist()]).astype(np.int64)
             unique, slot = np.unique(np.concatenate(keys), return_inverse=True)
             sums = np.bincount(slot, weights=counts, minlength=len(unique)).astype(np.int64)
