@@ -22,7 +22,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         lower = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
         moved = pin(lower.join(jump, "next").select("id", "label", F.least("next", "far").alias("next")), "labels")
-        changed = moved.filter("next <> label").limit(1).count()
+        changed = not moved.filter("next <> label").isEmpty()
         labels = moved.select("id", F.col("next").alias("label"))
         if not changed:
             return labels

@@ -5,20 +5,25 @@ its smallest hash.  Empty bins borrow from a bin found by a fixed sequence of ha
 densification).  Four bins make a band; documents that agree on one of 32 bands are candidates.  At a similarity
 of 0.8 a pair misses every band with a chance of 5e-8.
 
-Documents with equal sets are one class from the start, so exact copies cost nothing further.  In each bucket,
-classes are compared with the smallest one only: a star, linear in the bucket.  Where a bucket still holds
-several components, further stars follow from its next members (1, 2, 4 ... at once) to the members of other
-components, until each such bucket is one component or each member has been a centre, so no link is lost to the
-star shape.  Every candidate is confirmed on the full sets."""
+Documents with equal sets are one class from the start, so exact copies cost nothing further.  The classes
+of a bucket are compared, on full sets, with one centre only, the one in the most crowded buckets around: a star,
+linear in the bucket, and a group of near copies has the same centre in all its buckets.
+
+No link is lost to the star shape.  Two members that are linked, but not both to the centre, must both differ from
+the centre by much the same shingles: of the differences of either, the two share more than a known number.  So
+each member of a star goes on to buckets named by (centre, shingle) for the first of its differences, in an order
+common to the star, as many as that number allows (a prefix filter); members that can be linked meet in one of
+them.  These buckets are stars again, of up to 1024 centres, until every bucket is one component.  Near copies of one text with edits of
+their own share next to no differences and part at once, however many they are."""
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,26 +106,127 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return C.map_batches(docs, full, "doc_id long, shingles binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are alike enough."""
+#: The order of differences goes by counts from about this many documents, kept in so many slots by hash.  Any order
+#: gives the same links; one that has common shingles last gives few candidates.
+SAMPLED, SLOTS = 2000, 1 << 20
+
+
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _rare_first(shingles: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    return shingles[np.lexsort((shingles, seen[_slot(shingles)]))]
+
+
+def _seen(sets: DataFrame) -> np.ndarray:
+    """How many documents of a sample have a shingle of each slot: an array of fixed size."""
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        every = [_slot(np.frombuffer(blob, dtype=np.uint64)) for blob in batch.column("shingles").to_pylist()]
+        slot, n = np.unique(np.concatenate(every), return_counts=True)
+        return pa.RecordBatch.from_pydict({"slot": pa.array(slot, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    step = max(1, sets.count() // SAMPLED)
+    sample = sets.filter(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
+    found = C.map_batches(sample, count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.zeros(SLOTS, dtype=np.int32)
+    seen[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return seen
+
+
+def _after(x: np.ndarray, y: np.ndarray, percent: int, seen: np.ndarray) -> tuple[bool, int, np.ndarray, np.ndarray]:
+    """Is member y linked to centre x; by how many shingles do they differ; by which of these must it look for members linked to itself, and by
+    which more for members that are linked to the centre (only when it is not).
+
+    With q = (100 - percent) / (100 + percent), sets of sizes a and b are linked when they differ by at most
+    q (a + b) shingles.  For members with differences D1 and D2 from a centre of size c, the first of them not
+    linked to it, |D1| > q (c + a1), so they share more than (|D2| + q (c - a2)) / 2 differences."""
+    c, size, q = len(x), len(y), (100 - percent, 100 + percent)
+    where = np.searchsorted(x, y)
+    inside = x[np.minimum(where, c - 1)] == y
+    shared = int(np.count_nonzero(inside))
+    linked = 100 * shared >= percent * (c + size - shared)
+    gone = np.ones(c, dtype=bool)
+    gone[where[inside]] = False
+    # rare ones first: shingles that the centre lacks, then in the order of how often a sample of documents has them
+    apart = np.concatenate((_rare_first(y[~inside], seen), _rare_first(x[gone], seen)))
+    n = len(apart)
+    least = (n * q[1] + q[0] * (c - size)) // (2 * q[1]) + 1
+    own = max(0, n - least + 1)
+    more = own
+    if not linked:
+        # a member linked to the centre has a size of at most 100 c / percent
+        largest = 100 * c // percent + 1
+        if n * q[1] <= q[0] * (c + size + 2 * largest):
+            least = max(1, -(-(n * q[1] - q[0] * (size + largest)) // q[1]))
+            more = max(own, n - least + 1)
+    return linked, n, apart[:own], apart[own:more]
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int, seen: Broadcast[np.ndarray]) -> DataFrame:
+    """(a, b, linked, size, apart, own, more) for pairs (centre a, member b, goes_on)."""
     a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    joined = pairs.select("a", "b").join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
+    joined = pairs.join(b, "b").join(a, "a").select("a", "b", "goes_on", "set_a", "set_b")
+
+    def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for one, other, goes_on in zip(*(batch.column(c).to_pylist() for c in ("set_a", "set_b", "goes_on"))):
+            member = np.frombuffer(other, dtype=np.uint64)
+            linked, apart, own, more = _after(np.frombuffer(one, dtype=np.uint64), member, percent, seen.value)
+            rows.append((linked, len(member), apart, *((own.view(np.int64), more.view(np.int64)) if goes_on else (None, None))))
+        kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
+        return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *arrays], ["a", "b", "linked", "size", "apart", "own", "more"])
+
+    return C.map_batches(joined, compare, "a long, b long, linked boolean, size long, apart long, own array<long>, more array<long>")
+
+
+#: Centres of a bucket grow by this factor from round to round.
+MORE_CENTRES = 1024
+
+
+def _hubs(rows: DataFrame) -> DataFrame:
+    """(bucket, a): the centre of each bucket, which need not be in it.  Of the ids that share a bucket with one of
+    the bucket's members it is the one in the most crowded buckets, so that the many buckets of a group of near
+    copies choose the same centre."""
+    weight = rows.groupBy("id").agg(F.sum("members").alias("weight"))
+    weighed = rows.join(weight, "id").select("bucket", "id", F.struct("weight", (-F.col("id")).alias("minus")).alias("own"))
+    best = weighed.groupBy("bucket").agg(F.max("own").alias("best"))
+    reached = rows.select("bucket", "id").join(best, "bucket").groupBy("id").agg(F.max("best").alias("hub"))
+    hubs = rows.select("bucket", "id").join(reached, "id").groupBy("bucket").agg(F.max("hub").alias("hub"))
+    return hubs.select("bucket", (-F.col("hub.minus")).alias("a"))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for one, other in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                x, y = np.frombuffer(one, dtype=np.uint64), np.frombuffer(other, dtype=np.uint64)
-                small, large = sorted((len(x), len(y)))
-                if 100 * small < percent * large:
-                    ok.append(False)
-                    continue
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "ok": pa.array(ok, pa.bool_())})
 
-    return joined.mapInArrow(verify, "a long, b long, ok boolean").filter("ok").select("a", "b")
+def _stars(rows: DataFrame, centres: int, percent: int) -> DataFrame:
+    """(a, b, goes_on): centre and member.  With one centre it is the hub of every bucket of rows (bucket, id, label,
+    lead), otherwise up to ``centres`` members, of which only leads can be centres.  ``goes_on`` when leads of the
+    bucket are left that have not been compared with its members.  Unless that is so, members known to be of one
+    component are not compared, nor those whose numbers of differences from the centre before are too far apart for
+    a link (they differ by at least as many shingles as these numbers do)."""
+    shape = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("lead").cast("int")).alias("leads"))
+    rows = pin(rows.join(shape.filter("members > 1 AND leads > 0"), "bucket"), "buckets")
+    if centres == 1:
+        chosen = _hubs(rows)
+        met, goes_on = rows.join(chosen, "bucket").filter("id <> a"), F.lit(True)
+    else:
+        weight = rows.groupBy("id").agg(F.sum("members").alias("weight"))
+        leads = rows.filter("lead").select("bucket", "id", "label", "size", "apart").join(weight, "id")
+        order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "id")
+        ranked = leads.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= centres)
+        chosen = ranked.select(*[F.col(c).alias(f"c_{c}") for c in ("bucket", "label", "size", "apart")], F.col("id").alias("a"))
+        goes_on = F.col("leads") > centres
+        gap = F.abs(F.col("apart") - F.col("c_apart")) * (100 + percent)
+        # a pair of two leads comes up once, with the smaller one as the centre
+        once = ~F.col("lead") | (F.col("id") > F.col("a"))
+        open_pair = once & (F.col("label") != F.col("c_label")) & (gap <= (F.col("size") + F.col("c_size")) * (100 - percent))
+        met = rows.join(chosen, (F.col("bucket") == F.col("c_bucket")) & (F.col("id") != F.col("a")) & (goes_on | open_pair))
+    met = met.groupBy("a", F.col("id").alias("b")).agg(F.max(goes_on).alias("goes_on"))
+    # a star of one member has nothing further to compare
+    met = pin(met, "pairs")
+    several = met.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    return pin(met.join(several, "a").select("a", "b", (F.col("goes_on") & (F.col("n") > 1)).alias("goes_on")), "pairs")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -134,32 +240,33 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = pin(_sketches(narrow, n), "sketches")
     usable = sketches.filter("doc_id IS NOT NULL AND same IS NOT NULL")
-    classes = usable.groupBy("same").agg(F.min("doc_id").alias("class"))
-    heads = pin(usable.join(classes, "same").filter("doc_id = class").groupBy("same").agg(F.min("class").alias("id"), F.first("bands").alias("bands")), "classes")
-    rows = pin(heads.select("id", F.explode("bands").alias("band")), "bands")
-    # buckets of one class need no look; the others carry their smallest member
-    centres = rows.groupBy("band").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    crowded = pin(rows.join(centres, "band").select("band", "id", "a"), "buckets")
-    pairs = pin(crowded.filter("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
-    involved = crowded.select(F.col("id").alias("doc_id")).distinct()
-    sets = pin(_sets(narrow.join(involved, "doc_id", "left_semi"), n), "shingles")
-    tried, edges = pairs, pin(_confirmed(pairs, sets, percent), "links")
-    first, width = 2, 1
+    heads = usable.groupBy("same").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
+    heads = pin(heads, "classes")
+    rows = heads.select(F.explode("bands").alias("bucket"), "id", F.col("id").alias("label"), F.lit(True).alias("lead"))
+    centres, sets, edges, labels = 1, None, None, None
+    pairs = _stars(rows, centres, percent)
     while True:
-        labels = components(edges)
-        named = crowded.join(labels, "id", "left").select("band", "id", F.coalesce("label", "id").alias("label"))
-        mixed = named.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("band")
-        open_rows = named.join(mixed, "band").withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("id")))
-        open_rows = pin(open_rows, "open")
-        stars = open_rows.filter((F.col("rank") >= first) & (F.col("rank") < first + width)).select("band", F.col("id").alias("x"), F.col("label").alias("own"))
-        if stars.limit(1).count() == 0:
+        if sets is None:
+            involved = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+            sets = pin(_sets(narrow.join(involved, "doc_id", "left_semi"), n), "shingles")
+            seen = docs.sparkSession.sparkContext.broadcast(_seen(sets))
+        found = pin(_compared(pairs, sets, percent, seen), "compared")
+        new = found.filter("linked").select("a", "b")
+        edges = new if edges is None else edges.unionByName(new)
+        if labels is None or not new.isEmpty():
+            labels = components(edges)
+        named = found.join(labels.select(F.col("id").alias("b"), "label"), "b", "left").withColumn("label", F.coalesce("label", "b"))
+        parts = [
+            named.select(F.explode(c).alias("shingle"), "a", F.col("b").alias("id"), "label", "size", "apart", F.lit(c == "own").alias("lead")) for c in ("own", "more")
+        ]
+        rows = pin(parts[0].unionByName(parts[1]).select(F.xxhash64("a", "shingle").alias("bucket"), "id", "label", "size", "apart", "lead"), "differences")
+        mixed = rows.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("lead").alias("led"))
+        mixed = mixed.filter("led AND least <> most").select("bucket")
+        rows = pin(rows.join(mixed, "bucket", "left_semi"), "open")
+        if rows.isEmpty():
             break
-        met = open_rows.join(stars, "band").filter("label <> own")
-        more = met.select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        more = pin(more, "pairs")
-        first, width = first + width, width * 2
-        found = pin(_confirmed(more, sets, percent), "links")
-        tried, edges = tried.unionByName(more), edges.unionByName(found)
+        centres *= MORE_CENTRES
+        pairs = _stars(rows, centres, percent)
     reach = heads.select("same", "id").join(labels, "id", "left").select("same", F.coalesce("label", "id").alias("reach"))
     placed = sketches.join(reach, "same", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("reach", "doc_id")).alias("component_id"))
     return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -10,7 +10,7 @@ import corpus_pipeline
 from shelfline.llm.catalog import PIECES, QUERIES
 from shelfline.llm.components import components
 from shelfline.llm.mixing import mix_rows, taken_words
-from shelfline.llm.near_dedup import band_hashes, near_duplicates, shingle_sets, signature
+from shelfline.llm.near_dedup import _after, band_hashes, near_duplicates, shingle_sets, signature
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -135,3 +135,35 @@ def test_pipeline_stages_on_odd_rows(llm, odd, tmp_path):
 def test_pipeline_stages_on_nothing(llm, small):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(llm, small.filter("doc_id < 0"), FOLDER).collect() == []
+
+
+@pytest.mark.parametrize("percent", [50, 80])
+def test_differences_lead_linked_members_to_each_other(percent):
+    """For any centre, two members that are linked, but not both to it, share a key to look by."""
+    rng = np.random.default_rng(4)
+    linked = lambda x, y: 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y))
+    seen = rng.integers(0, 5, 1 << 20)
+    met = 0
+    for _ in range(4000):
+        pool = rng.permutation(400).astype(np.uint64)
+        size = rng.integers(2, 40)
+        base = pool[:size]
+
+        def edited(text, edits):
+            kept = text[rng.random(len(text)) > edits]
+            return np.unique(np.concatenate((kept, rng.choice(pool, rng.integers(0, 1 + int(size * edits) + 1)))))
+
+        centre, first = edited(base, 0.2), edited(base, 0.3)
+        second = edited(first, 0.15)
+        if not (len(centre) and len(first) and len(second)) or not linked(first, second):
+            continue
+        (one, n1, own1, more1), (two, n2, own2, more2) = (_after(centre, m, percent, seen) for m in (first, second))
+        assert (one, two) == (linked(centre, first), linked(centre, second))
+        if one and two or np.array_equal(first, second):
+            continue
+        met += 1
+        assert abs(n1 - n2) * (100 + percent) <= (len(first) + len(second)) * (100 - percent)
+        leads = (set(own1.tolist()), set(own2.tolist()))
+        every = (leads[0] | set(more1.tolist()), leads[1] | set(more2.tolist()))
+        assert leads[0] & every[1] or leads[1] & every[0]
+    assert met > 200
