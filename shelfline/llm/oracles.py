@@ -160,10 +160,127 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)
 FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
 """
 
+OP11 = """
+WITH usable AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, list_inner_product(a.v, o.v)::BIGINT AS score
+    FROM usable a JOIN usable o ON a.vec_id <> o.vec_id WHERE a.vec_id % 50 = 0
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER best <= 3
+"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::UBIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::UBIGINT FOR x IN range(8)]),
+            lambda a, b: xor(a >> 1, 3988292384::UBIGINT * (a & 1)))), 4294967295::UBIGINT)"""
+
+
+def _op12() -> str:
+    """Cost and letters of the rest of a conversation as one text that sorts by cost, then letters; what the rest turns
+    into follows behind chr(1).  s0 to s3 are the states: start, after system, after user, after assistant."""
+    then, role = (2, 2, 3, 2), ("user", "user", "assistant", "user")
+    kept = {("s", 0): 1, ("u", 0): 2, ("u", 1): 2, ("u", 3): 2, ("a", 2): 3}
+
+    def step(letter: str, price: str, state: str, turn: str) -> str:
+        return f"""(lpad(((left({state}, 9))::BIGINT + {price})::VARCHAR, 9, '0') || '{letter}' || split_part(substr({state}, 10), chr(1), 1)
+            || chr(1) || {turn} || substr({state}, 11 + length(split_part(substr({state}, 10), chr(1), 1))))"""
+
+    def raw(q: int) -> str:
+        ways = [step("D", "4", f"s{q}", "''")]
+        ways.append(f"CASE WHEN sound THEN {step('R', '3 + late', f's{then[q]}', f'chr(10) || {chr(39)}{role[q]}:{chr(39)} || text')} END")
+        ways += [f"CASE WHEN sound AND initial = '{i}' THEN {step('K', 'late', f's{to}', 'chr(10) || role || chr(58) || text')} END" for (i, at), to in kept.items() if at == q]
+        return f"least({', '.join(ways)})"
+
+    def inserting(states: str) -> str:
+        put = lambda q: step("I", "3", f"s{then[q]}", f"chr(10) || '{role[q]}:'")
+        once = f"SELECT * REPLACE (least(s2, {put(2)}) AS s2, least(s3, {put(3)}) AS s3) FROM ({states})"
+        return f"SELECT * REPLACE (least(s0, {put(0)}) AS s0, least(s1, {put(1)}) AS s1) FROM ({once})"
+
+    never, done = "'900000000' || chr(1)", "'000000000' || chr(1)"
+    return rf"""
+WITH RECURSIVE filled AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+    FROM conversations
+),
+hurt AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) FROM filled WHERE kind <> 0)
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial FROM hurt
+),
+judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+    FROM placed
+),
+lines AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS sound, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS late FROM judged),
+figures AS (
+    SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM lines GROUP BY conv_id
+),
+rest(conv_id, i, s0, s1, s2, s3) AS (
+    {inserting(f"SELECT conv_id, n AS i, {done} AS s0, {never} AS s1, {never} AS s2, {done} AS s3 FROM figures")}
+    UNION ALL
+    {inserting(f"SELECT r.conv_id, r.i - 1 AS i, {raw(0)} AS s0, {raw(1)} AS s1, {raw(2)} AS s2, {raw(3)} AS s3 FROM rest r JOIN lines USING (conv_id, i)")}
+),
+best AS (SELECT conv_id, left(s0, 9)::BIGINT AS cost, split_part(substr(s0, 10), chr(1), 1) AS audit, substr(s0, 12 + length(audit)) AS repaired FROM rest WHERE i = 0)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN figures USING (conv_id) LEFT JOIN best USING (conv_id)
+"""
+
+
+OP12 = _op12()
+
+OP13 = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, i, ['user', 'assistant'][i + 1], '<|im_end|><|im_start|>assistant ok' FROM range(2) t(i)
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM turns),
+lengths AS (
+    SELECT *, length(text) + len(regexp_extract_all(text, '<\\*\|im_(start|end)\|>'))
+                + length(role) + len(regexp_extract_all(role, '\\|\n')) + len(regexp_extract_all(role, '<\\*\|im_(start|end)\|>')) AS chars
+    FROM placed
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars + length('<|im_start|>') + length('<|im_end|>') + 2)::BIGINT AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op2_quality_rules": OP2,
     "op5_lm_scoring": OP5,
     "op9_source_mixing": OP9,
     "op10_minhash_near_dedup": OP10,
+    "op11_hard_negatives": OP11,
+    "op12_conversation_repair": OP12,
+    "op13_chat_formatting": OP13,
 }
