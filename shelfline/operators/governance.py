@@ -72,3 +72,46 @@ def register_functions(spark: SparkSession) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION may_see(country STRING, granted STRING) RETURNS BOOLEAN "
         f"RETURN granted = '{ALL_COUNTRIES}' OR granted = country"
     )
+
+
+# rules in SQL ------------------------------------------------------------------------------------------------------------
+
+#: Session variable that names the user whose rules count; the session's own user unless it is set.
+ACTING = "acting_user"
+
+
+def install_rules(spark: SparkSession, access: DataFrame, readers: DataFrame) -> None:
+    """The access rule and the mask as SQL functions over their tables, for use in any view of the session.
+
+    ``user_may_see(country)`` asks the access table for a row of the user that grants everything or this country; the
+    second question is correlated, so Spark plans it as a semi join on the country.  ``shown_to_user(value)`` asks
+    the list of readers."""
+    access.createOrReplaceTempView("country_access")
+    readers.createOrReplaceTempView("pii_readers")
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {ACTING} STRING DEFAULT current_user()")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION user_may_see(country STRING) RETURNS BOOLEAN RETURN "
+        f"EXISTS (SELECT 1 FROM country_access WHERE user_email = session.{ACTING} AND country_code = '{ALL_COUNTRIES}') "
+        f"OR EXISTS (SELECT 1 FROM country_access a WHERE a.user_email = session.{ACTING} AND a.country_code = country)"
+    )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION shown_to_user(value STRING) RETURNS STRING RETURN "
+        f"CASE WHEN EXISTS (SELECT 1 FROM pii_readers WHERE user_email = session.{ACTING}) THEN value "
+        "ELSE concat(left(value, 1), '***') END"
+    )
+
+
+def act_as(spark: SparkSession, user: str | None = None) -> None:
+    """Whose rules count from here on; None: those of the session's own user."""
+    if user is None:
+        spark.sql(f"SET VAR {ACTING} = current_user()")
+    else:
+        spark.sql(f"SET VAR {ACTING} = :user", args={"user": user})
+
+
+def secured_sql_view(spark: SparkSession, name: str, source: str, country: str | None = None, masked_columns: Sequence[str] = ()) -> None:
+    """A view over a table or view: only the user's countries, contact columns masked.  It is resolved anew by every
+    query, so it follows ``act_as`` and changes of the access table."""
+    columns = [f"shown_to_user(`{c}`) AS `{c}`" if c in masked_columns else f"`{c}`" for c in spark.table(source).columns]
+    rule = f" WHERE user_may_see(`{country}`)" if country else ""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {', '.join(columns)} FROM {source}{rule}")

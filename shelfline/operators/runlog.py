@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfline.functions.numbers import count_where, duration_text, ratio
-from shelfline.operators.dedup import newest_per_key
+from shelfline.operators.dedup import newest_per_key, rows_of_newest_run
 from shelfline.schemas import RUN_LOG
 
 MESSAGE_LENGTH = 500
@@ -101,3 +102,22 @@ def platform_kpis(log: DataFrame, checks: DataFrame, counts: DataFrame, step: st
     )
     # four one-row frames side by side
     return runs.join(F.broadcast(span)).join(F.broadcast(sizes)).join(F.broadcast(verdicts))
+
+
+def result_kpis(logs: Mapping[str, DataFrame]) -> DataFrame:
+    """Checks, passed, pass rate and summed difference of the newest run of each log of results.  Each log has its own
+    newest run: a later run of another kind does not hide it."""
+    passed = count_where(F.col("status") == "PASS")
+    total = F.count(F.lit(1))
+    found = None
+    for kind, log in logs.items():
+        one = rows_of_newest_run(log, "checked_at").agg(
+            F.lit(kind).alias("kind"),
+            F.max("run_id").alias("run_id"),
+            total.alias("checks"),
+            passed.alias("passed"),
+            ratio(passed, total).alias("pass_rate"),
+            F.coalesce(F.sum(F.abs("difference")).cast("double"), F.lit(0.0)).alias("difference_total"),
+        )
+        found = one if found is None else found.unionByName(one)
+    return found

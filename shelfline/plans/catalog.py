@@ -25,6 +25,7 @@ from shelfline.plans.driver_views import (
 from shelfline.schemas import POS_EVENT, SELLOUT_A, SELLOUT_B, SELLOUT_JSON
 from shelfline.session import pin, scratch, tune
 from shelfline.sources import tables
+from shelfline.streaming import event_table
 from shelfline.streaming import events as pos
 from shelfline.streaming import ingest
 
@@ -667,6 +668,39 @@ def kpi_stock_cover_top12(v):
     return rounded(kpi.stock_cover_top(mart), 4)
 
 
+def _joined_members(df: DataFrame) -> DataFrame:
+    """Lists of members as text, for comparison with another engine."""
+    return rounded(df.withColumn("members", F.array_join("members", " | ")))
+
+
+#: What the slicers of the report's pages select here.
+SELECTED_YEARS = (1997, 1998)
+SELECTED = {"country_code": ("1", "3", "7", "12", "20"), "category": ("ECONOMY", "PROMO", "SMALL", "STANDARD"), "channel": ("BUILDING", "FURNITURE", "MACHINERY")}
+SALES_SLICES = (
+    kpi.Slice("total"),
+    kpi.Slice("month", monthly=True),
+    kpi.Slice("category", ("category",)),
+    kpi.Slice("country", ("country_code",)),
+    kpi.Slice("channel", ("channel",)),
+    kpi.Slice("channel by month", ("channel", "category"), monthly=True),
+)
+SELLOUT_SLICES = (kpi.Slice("month", monthly=True), kpi.Slice("distributor", ("distributor_name",)), kpi.Slice("country and category", ("country_code", "category")))
+
+
+@query
+def kpi_sales_page(v):
+    mart = stored_monthly_of(v)
+    return _joined_members(kpi.sales_page(mart, SALES_SLICES, kpi.Selection(SELECTED, SELECTED_YEARS)))
+
+
+@query
+def kpi_sellout_page(v):
+    lines = pin(lines_of(v, sales.COST).select(*SELL_IN_COLUMNS), "sell-in")
+    monthly = pin(marts.mart_sales_monthly(lines, v.fx, BASE_YEAR), "sales-monthly")
+    chosen = kpi.Selection({c: SELECTED[c] for c in ("category",)}, SELECTED_YEARS)
+    return _joined_members(kpi.sellout_page(sellin_sellout_of(v, lines), monthly, SELLOUT_SLICES, chosen))
+
+
 @query
 def kpi_promo_uplift(v):
     return rounded(kpi.promo_kpis(promo_of(v), ["category"]))
@@ -764,9 +798,27 @@ def _land_events(v: DriverViews) -> str:
 def _upserted(v: DriverViews, max_files: int | None = None) -> DataFrame:
     landing = _land_events(v)
     root = scratch(v.spark, "pos-tables")
-    stream = pos.read_event_stream(v.spark, landing, max_files=max_files)
+    stream = pos.read_event_stream(pos.disk_state_session(v.spark), landing, max_files=max_files)
     pos.run_upsert(stream, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint")
-    return v.spark.read.parquet(f"{root}/silver")
+    return event_table.read_events(v.spark, f"{root}/silver")
+
+
+@query
+def pos_compacted(v):
+    """The event table while it is written in small batches and compacted in between, read in three states."""
+    landing, root = _land_events(v), scratch(v.spark, "pos-compacted")
+    silver = f"{root}/silver"
+    stream = pos.read_event_stream(pos.disk_state_session(v.spark), landing, max_files=12)
+    pos.run_upsert(stream, f"{root}/bronze", silver, f"{root}/checkpoint")
+    counts = None
+    for state, step in (("before", None), ("after", event_table.compact), ("cleaned", event_table.vacuum)):
+        if step:
+            step(v.spark, silver)
+        rows = event_table.read_events(v.spark, silver).groupBy("event_date", "country").agg(F.count(F.lit(1)).alias("n"))
+        one = pin(rows.withColumn("state", F.lit(state)), "counted")
+        counts = one if counts is None else counts.unionByName(one)
+    states = [F.sum(F.when(F.col("state") == s, F.col("n"))).alias(s) for s in ("before", "after", "cleaned")]
+    return counts.groupBy("event_date", "country").agg(*states)
 
 
 POS_COLUMNS = [c for c in pos.SILVER_COLUMNS if not c.startswith("_")]
@@ -820,13 +872,6 @@ def forecast_metrics(v):
     return forecast.forecast_accuracy(forecast.seasonal_naive(features_of(v)))
 
 
-@query
-def gbt_forecast(v):
-    data = pin(features_of(v))
-    model = forecast.train(data, iterations=20)
-    return forecast.forecast_weekly(model, data, "1")
-
-
 # governance -------------------------------------------------------------------------------------------------------------
 
 

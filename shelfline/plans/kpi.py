@@ -7,6 +7,7 @@ rows forward instead of joining the mart to itself.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,13 @@ def with_prior_years(
     partial year is compared with the same part of the year before.  ``cut_current`` applies the same limit
     to the current values."""
     base = mart.groupBy(*by, F.col(step).alias("_step")).agg(*[m.cast(CENTS).alias(n) for n, m in measures.items()])
+    return shifted(base, by, period(F.col("_on")), list(measures), last, years, cut_current)
+
+
+def shifted(
+    base: DataFrame, by: Sequence[str], period: Column, measures: Sequence[str], last: DataFrame, years: int = 2, cut_current: bool = False
+) -> DataFrame:
+    """Sums by (group, ``_step``) moved on to the dates ``_on`` one and two years later, and summed by ``period``."""
     shifts = F.explode(F.array(*[F.lit(12 * k) for k in range(years + 1)]))
     moved = (
         base.withColumn("_shift", shifts)
@@ -52,19 +60,21 @@ def with_prior_years(
         for n in measures
         for k, suffix in enumerate(suffixes)
     ]
-    return moved.groupBy(*by, period(F.col("_on")).alias("period")).agg(*summed)
+    return moved.groupBy(*by, period.alias("period")).agg(*summed)
 
 
 def sales_kpis(mart: DataFrame, by: Sequence[str] = (), period: Callable[[Column], Column] = F.year) -> DataFrame:
     """Commercial measures per group and period."""
-    exact = lambda c: F.sum(F.col(c).cast(CENTS))
-    measures = {
-        "net_sales": exact("net_sales_eur"),
-        "net_sales_cfx": exact("net_sales_cfx_eur"),
-        "volume_t": exact("volume_t"),
-        "cogs": exact("cogs_eur"),
-    }
-    base = with_prior_years(mart, by, "month_start", period, measures, last_data_date(mart))
+    return sales_derived(with_prior_years(mart, by, "month_start", period, sales_sums(), last_data_date(mart)))
+
+
+def sales_sums() -> dict[str, Column]:
+    columns = {"net_sales": "net_sales_eur", "net_sales_cfx": "net_sales_cfx_eur", "volume_t": "volume_t", "cogs": "cogs_eur"}
+    return {name: F.sum(F.col(c).cast(CENTS)) for name, c in columns.items()}
+
+
+def sales_derived(base: DataFrame) -> DataFrame:
+    """Growth, margin and display measures from sums with their prior years."""
     c = F.col
     growths = {
         "reported_growth": growth(c("net_sales"), c("net_sales_py")),
@@ -146,9 +156,16 @@ def stock_cover_top(mart: DataFrame, by: str = "distributor_name", n: int = TOP)
 
 def sellout_kpis(mart: DataFrame, sales_mart: DataFrame, by: Sequence[str] = (), period=F.year) -> DataFrame:
     """Sell-out, sell-in (thousand cases) and sell-through up to the last data date, with prior year."""
-    exact = lambda c: F.sum(F.col(c).cast(CENTS))
-    measures = {"sell_out": exact("sell_out_cases"), "sell_in": exact("sell_in_cases")}
+    measures = sellout_sums()
     base = with_prior_years(mart, by, "week_ending", period, measures, last_data_date(sales_mart), years=1, cut_current=True)
+    return sellout_derived(base, by)
+
+
+def sellout_sums() -> dict[str, Column]:
+    return {name: F.sum(F.col(f"{name}_cases").cast(CENTS)) for name in ("sell_out", "sell_in")}
+
+
+def sellout_derived(base: DataFrame, by: Sequence[str]) -> DataFrame:
     c = F.col
     through = {
         "sell_through": ratio(c("sell_out"), c("sell_in")),
@@ -223,3 +240,80 @@ def star(mart: DataFrame, dims: Mapping[str, tuple[DataFrame, str, Sequence[str]
         member = dim.select(F.col(key).alias(f"_{column}"), *attributes)
         mart = mart.join(member, F.col(column) == F.col(f"_{column}"), "left").drop(f"_{column}")
     return mart
+
+
+# filter context -------------------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Slice:
+    """A visual of a report page: the columns it groups by, and whether it shows months or years."""
+
+    name: str
+    columns: tuple[str, ...] = ()
+    monthly: bool = False
+
+
+@dataclass(frozen=True)
+class Selection:
+    """What the slicers of a page select: members by column, and years.  An empty selection of a column is all of it."""
+
+    members: Mapping[str, Sequence[object]] = field(default_factory=dict)
+    years: Sequence[int] = ()
+
+    def of_members(self, df: DataFrame) -> DataFrame:
+        """Filters before the aggregation, so that they reach the scan."""
+        for column, members in self.members.items():
+            if members:
+                df = df.filter(F.col(column).isin(list(members)))
+        return df
+
+
+def page(
+    mart: DataFrame,
+    slices: Sequence[Slice],
+    selection: Selection,
+    step: str,
+    measures: Mapping[str, Column],
+    last: DataFrame,
+    years: int = 2,
+    cut_current: bool = False,
+) -> DataFrame:
+    """All visuals of a page from one scan and one aggregation: (slice, members, period, measures with prior years).
+
+    The slices are grouping sets over their columns and the period step; a period starts on the first of its year or
+    month.  The selection of years applies to periods, not to rows, so a selected year still finds its prior years.
+    ``members`` is the list of a row's members in the order of its slice's columns."""
+    columns = list(dict.fromkeys(c for s in slices for c in s.columns))
+    kept = selection.of_members(mart)
+    if not columns:
+        columns = [step]
+    ids = {s.name: sum(0 if c in s.columns else 1 << (len(columns) - 1 - i) for i, c in enumerate(columns)) for s in slices}
+    sets = {tuple(s.columns) for s in slices}
+    grouped = kept.withColumn("_step", F.col(step)).groupingSets(
+        [[F.col("_step"), *[F.col(c) for c in one]] for one in sorted(sets)], F.col("_step"), *[F.col(c) for c in columns]
+    )
+    base = grouped.agg(F.grouping_id().alias("_gid"), *[m.cast(CENTS).alias(n) for n, m in measures.items()])
+    visuals = [
+        F.when(
+            F.col("_gid") == ids[s.name],
+            F.struct(F.lit(s.name).alias("slice"), F.lit(s.monthly).alias("_monthly"), F.array(*[F.col(c).cast("string") for c in s.columns]).cast("array<string>").alias("members")),
+        )
+        for s in slices
+    ]
+    shown = base.withColumn("_v", F.explode(F.array_compact(F.array(*visuals)))).select("_v.*", "_step", *measures)
+    period = F.when(F.col("_monthly"), F.trunc("_on", "month")).otherwise(F.trunc("_on", "year"))
+    result = shifted(shown, ["slice", "members", "_monthly"], period, list(measures), last, years, cut_current).drop("_monthly")
+    return result.filter(F.year("period").isin(list(selection.years))) if selection.years else result
+
+
+def sales_page(mart: DataFrame, slices: Sequence[Slice], selection: Selection) -> DataFrame:
+    """The sales measures of a page, and each row's share of its slice's total in the period."""
+    # the newest data date ignores the selection
+    found = sales_derived(page(mart, slices, selection, "month_start", sales_sums(), last_data_date(mart)))
+    return share_of_total(found, ["slice", "period"], "net_sales", "net_sales_share")
+
+
+def sellout_page(mart: DataFrame, sales_mart: DataFrame, slices: Sequence[Slice], selection: Selection) -> DataFrame:
+    base = page(mart, slices, selection, "week_ending", sellout_sums(), last_data_date(sales_mart), years=1, cut_current=True)
+    return sellout_derived(base, ["slice", "members"])

@@ -170,7 +170,7 @@ def mart_sellin_sellout_weekly(sell_in: DataFrame, sell_out: DataFrame, distribu
 def mart_promo_performance(
     lines: DataFrame, promotions: DataFrame, customers: DataFrame, customer: str = "customer_id"
 ) -> DataFrame:
-    """Promotion volume against the eight weeks before it.
+    """Promotion volume against the eight weeks before it, as far as they begin by the promotion's end.
 
     Each promotion is spread over its own weeks (baseline plus duration, a dozen rows), which turns the
     interval join into an equi join on customer, category and week.
@@ -187,9 +187,9 @@ def mart_promo_performance(
         return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
 
     first_monday = week_of(F.date_add(F.col("start_date"), 6 - 7 * BASELINE_WEEKS))
-    # a promotion that ends before it starts keeps its baseline and has no volume of its own
-    last_day = F.greatest(F.col("end_date"), F.date_sub("start_date", 1))
-    spread = promotions.withColumn("week_start", F.explode(F.sequence(first_monday, last_day, F.expr("INTERVAL 7 DAYS"))))
+    # the baseline ends with the promotion too, so one that ends before it starts has fewer weeks of baseline
+    weeks = F.when(F.col("end_date") >= first_monday, F.sequence(first_monday, F.col("end_date"), F.expr("INTERVAL 7 DAYS")))
+    spread = promotions.withColumn("week_start", F.explode(weeks))
     during = F.col("week_start") >= F.col("start_date")
     before = ~during
     per_promo = (

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,3 +72,35 @@ def story_checks(bridge: DataFrame, expectations: Sequence[tuple[str, Column]])
         ]
     )
     return verdicts.select(F.inline(rows))
+
+
+@dataclass(frozen=True)
+class Story:
+    """An expectation: the frame it is about, the figure found there (an aggregate) and whether it is as expected."""
+
+    name: str
+    frame: str
+    found: Column
+    holds: Column
+
+
+def leaders(key: str) -> Column:
+    """Members of a ranking in alphabetical order, as one text."""
+    return F.array_join(F.array_sort(F.collect_set(key)), ", ")
+
+
+def check_stories(frames: Mapping[str, DataFrame], stories: Sequence[Story]) -> DataFrame:
+    """(story, found, status) of every expectation; each frame is aggregated once.  A figure that cannot be had fails."""
+    result = None
+    for name, frame in frames.items():
+        told = [s for s in stories if s.frame == name]
+        if not told:
+            continue
+        figures = frame.agg(*[c.alias(f"{p}{i}") for i, s in enumerate(told) for p, c in (("f", s.found.cast("string")), ("h", s.holds))])
+        rows = [
+            F.struct(F.lit(s.name).alias("story"), F.col(f"f{i}").alias("found"), F.when(F.col(f"h{i}"), "PASS").otherwise("FAIL").alias("status"))
+            for i, s in enumerate(told)
+        ]
+        one = figures.select(F.inline(F.array(*rows)))
+        result = one if result is None else result.unionByName(one)
+    return result

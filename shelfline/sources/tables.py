@@ -73,6 +73,62 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+class TypeConflict(ValueError):
+    """A column of a batch has another type than the stored one."""
+
+
+#: Partition folders of tables that streams write batch by batch.
+OWNERS = ("run_id", "batch_id")
+
+
+def evolved(df: DataFrame, path: str) -> DataFrame:
+    """Rows brought to the schema that a table will have with them: stored columns first, in their order, missing ones
+    null, new ones behind them.  A column whose type differs from the stored one is refused."""
+    spark = df.sparkSession
+    stored = [f for f in read_evolving(spark, path).schema if f.name not in OWNERS] if exists(spark, path) else []
+    types = {f.name: f.dataType for f in stored}
+    conflicts = [f"{f.name}: {types[f.name].simpleString()} is stored, {f.dataType.simpleString()} comes" for f in df.schema if types.get(f.name, f.dataType) != f.dataType]
+    if conflicts:
+        raise TypeConflict("; ".join(conflicts))
+    known = [F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in stored]
+    return df.select(*known, *[F.col(f"`{c}`") for c in df.columns if c not in types])
+
+
+def append_evolving(df: DataFrame, path: str) -> int:
+    """Append rows to a table that may gain columns; returns the rows written."""
+    return append_table(evolved(df, path), path)
+
+
+def batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
+    """Folder that a micro-batch owns, by the stream's identity and the batch's number: a retry writes it anew and
+    leaves no second copy, a stream under another checkpoint has folders of its own."""
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "no-stream"
+    return f"{path}/{OWNERS[0]}={run}/{OWNERS[1]}={batch_id}"
+
+
+def read_pruned(spark: SparkSession, path: str, partition: str, calendar: DataFrame, day: str) -> DataFrame:
+    """The partitions of a table whose value occurs in a (filtered) calendar.  The calendar's values reach the scan as
+    a pruning filter, so the files of other partitions are not opened."""
+    wanted = calendar.select(F.col(day).alias(partition)).distinct()
+    # a calendar has one row per day at most
+    return read_partitioned(spark, path).join(F.broadcast(wanted), partition, "left_semi")
+
+
+def stored_counts(spark: SparkSession, root: str, layers: Sequence[str] = ("bronze", "silver", "gold")) -> DataFrame:
+    """Rows of every stored table by layer, from the file footers, with the time of counting."""
+    counted = None
+    for layer in layers:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{layer}")
+        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not system.exists(target):
+            continue
+        for name in sorted(status.getPath().getName() for status in system.listStatus(target)):
+            one = spark.read.parquet(table_path(root, layer, name)).agg(F.count(F.lit(1)).alias("row_count"))
+            one = one.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count", F.current_timestamp().alias("counted_at"))
+            counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
 def write_clustered(df: DataFrame, path: str, column: str, partitions: int | None = None) -> int:
     """Range-partition and sort by a column, so that row-group statistics skip data outside a range."""
     parts = (partitions,) if partitions else ()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.sources.files import with_file_lineage
-from shelfline.sources.tables import exists, read_evolving
+from shelfline.sources.tables import batch_folder, evolved, exists, read_evolving, write_table
 
 
 def file_stream(
@@ -55,6 +55,61 @@ def json_records_stream(
     return flat.select(*header, "_record.*", *lineage)
 
 
+CORRUPT = "_corrupt"
+
+
+def documents_stream(spark: SparkSession, path: str, schema: str, glob: str | None = None, max_files: int | None = None) -> DataFrame:
+    """JSON documents written over several lines, one per file, with lineage.  A document that cannot be read comes as
+    one row with its text in ``_corrupt`` and the rest null."""
+    options = {"multiLine": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return with_file_lineage(file_stream(spark, path, "json", f"{schema}, {CORRUPT} string", glob, options, max_files))
+
+
+def records_of(documents: DataFrame, records: str = "records", header: tuple[str, ...] = ("distributor",)) -> DataFrame:
+    """One row per record of the readable documents, header fields and lineage kept."""
+    lineage = [c for c in documents.columns if c.startswith("_") and c != CORRUPT]
+    flat = documents.filter(F.col(CORRUPT).isNull()).select(*header, F.explode(records).alias("_record"), *lineage)
+    return flat.select(*header, "_record.*", *lineage)
+
+
+def broken_documents(documents: DataFrame) -> DataFrame:
+    """Path, text and time of the documents that could not be read."""
+    return documents.filter(F.col(CORRUPT).isNotNull()).select("_source_file", F.col(CORRUPT).alias("document"), "_ingested_at")
+
+
+def run_documents(stream: DataFrame, good: str, broken: str, checkpoint: str, **shape) -> None:
+    """Take the new documents: records to ``good``, broken documents to ``broken``.
+
+    A batch owns a folder in either table and writes it anew when it is retried."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for rows, path in ((records_of(batch, **shape), good), (broken_documents(batch), broken)):
+                write_table(rows, batch_folder(batch.sparkSession, path, batch_id))
+        finally:
+            batch.unpersist()
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    spark = stream.sparkSession
+    for rows, path in ((records_of(stream, **shape), good), (broken_documents(stream), broken)):
+        if not exists(spark, path):  # no document yet: an empty table
+            spark.createDataFrame([], rows.schema).write.parquet(path)
+
+
+def run_evolving(stream: DataFrame, path: str, checkpoint: str) -> list[int]:
+    """Append what is new to a table that may gain columns; rows added batch by batch."""
+    added: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        added.append(write_table(evolved(batch, path), batch_folder(batch.sparkSession, path, batch_id)))
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return added
+
+
 def row_count(spark: SparkSession, path: str) -> int:
     """Rows of a Parquet table, from the file footers; 0 when it does not exist yet."""
     return spark.read.parquet(path).count() if exists(spark, path) else 0

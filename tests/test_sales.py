@@ -1,3 +1,5 @@
+import datetime as dt
+
 from conftest import at, day, rows
 from pyspark.sql import functions as F
 
@@ -141,6 +143,25 @@ def test_promotion_baseline(spark):
     assert found["P1"].promo_roi == 1.6 and float(found["P3"].baseline_cases) == 4.0
 
 
+def test_promotion_baseline_ends_with_the_promotion(spark):
+    """Sales of ten cases in every week: a promotion that ends eight days before its start has seven baseline weeks."""
+    mondays = [day("2025-01-06") + dt.timedelta(weeks=k) for k in range(20)]
+    lines = spark.createDataFrame(
+        [("C", "Coffee", d, 10, 20.0, 10.0, False, "Open") for d in mondays],
+        "customer_id string, category string, order_date date, qty_cases int, net_amount_eur double, cogs_eur double, is_deleted boolean, order_status string",
+    )
+    start = day("2025-03-10")
+    ends = {"week before": start - dt.timedelta(days=8), "same day": start, "long before": start - dt.timedelta(days=90)}
+    promos = spark.createDataFrame(
+        [(name, "C", "Coffee", "m", "0.2", start, end, 2, "10.0") for name, end in ends.items()],
+        "promo_id string, customer_id string, category string, mechanic string, discount_pct string, start_date date, end_date date, duration_weeks int, planned_uplift_pct string",
+    )
+    customers = spark.createDataFrame([("C", "PL", "Web")], "customer_id string, country_code string, channel string")
+    mart = marts.mart_promo_performance(lines, sales.typed_promotions(promos), customers)
+    found = {r.promo_id: (float(r.baseline_cases), r.promo_cases) for r in mart.collect()}
+    assert found == {"week before": (17.5, None), "same day": (20.0, 10)}
+
+
 def test_prior_year_compares_the_same_months(spark):
     data = [(day("2023-01-01"), 10.0), (day("2023-02-01"), 90.0), (day("2024-01-01"), 20.0), (day("2024-02-01"), 80.0), (day("2025-01-01"), 30.0)]
     mart = spark.createDataFrame([(d, v, v, v, v / 2) for d, v in data], "month_start date, net_sales_eur double, net_sales_cfx_eur double, volume_t double, cogs_eur double")

@@ -4,6 +4,7 @@ from conftest import day, rows
 from pyspark.sql import functions as F
 
 from shelfline.schemas import SELLOUT_A, SELLOUT_B, SELLOUT_JSON
+from shelfline.streaming import event_table
 from shelfline.streaming import events as pos
 from shelfline.streaming import ingest
 
@@ -119,11 +120,82 @@ def test_histories_of_two_checkpoints_are_kept(spark, tmp_path):
     assert rows(spark.read.parquet(str(silver)), "event_id") == [("e1",), ("e2",), ("e3",), ("e4",)]
 
 
-def test_a_batch_reads_only_its_buckets(spark):
-    batch = spark.createDataFrame([("e1",)], "event_id string").withColumn(pos.BUCKET, pos.id_bucket())
-    history = spark.createDataFrame([(f"e{i}",) for i in range(500)], "event_id string").withColumn(pos.BUCKET, pos.id_bucket())
-    assert pos.unseen_events(batch, history).count() == 0
-    assert pos.unseen_events(batch, history.filter("event_id <> 'e1'")).count() == 1
+def test_batches_do_not_read_a_growing_history(spark, tmp_path, monkeypatch):
+    """Files of the history that a batch reads, while the history grows tenfold: none of the stream's own; those of
+    another checkpoint stay few because of compaction."""
+    land, bronze, silver = (str(tmp_path / n) for n in ("land", "bronze", "silver"))
+    read, stored = [], event_table.stored
+
+    def watched(*args, **more):
+        known = stored(*args, **more)
+        read.append(0 if known is None else len(known.inputFiles()))
+        return known
+
+    def run(check):
+        return pos.run_upsert(pos.read_event_stream(spark, land), bronze, silver, str(tmp_path / check))
+
+    monkeypatch.setattr(event_table, "stored", watched)
+    for i in range(10):
+        put(tmp_path / "land" / f"date=2025-09-{i + 10}" / "events.jsonl", "".join(event(n) for n in range(5 * i, 5 * i + 10)))
+        assert run("first") == (10 if i == 0 else 5)
+    assert read == [0] * 10
+    read.clear()
+    assert event_table.compact(spark, silver).covered and event_table.compact(spark, silver) is None
+    read.clear()
+    assert run("second") == 0
+    assert len(read) == 1 and read[0] <= 1 + spark.sparkContext.defaultParallelism  # a segment and the newest batch
+    assert sorted(r[0] for r in event_table.read_events(spark, silver).select("event_id").collect()) == sorted(f"e{n}" for n in range(55))
+
+
+def test_readers_during_compaction_see_each_event_once(spark, tmp_path, monkeypatch):
+    write = pos.upsert_batch(str(tmp_path / "bronze"), str(tmp_path / "silver"))
+    silver = str(tmp_path / "silver")
+
+    def load(batch, numbers):
+        text = "".join(event(n) for n in numbers)
+        lines = spark.createDataFrame([(line,) for line in text.splitlines()], "value string")
+        write(pos.parse_with_rescue(lines.withColumns({"_source_file": F.lit("date=2025-09-14/f"), "_ingested_at": F.current_timestamp()})), batch)
+
+    def ids():
+        return sorted(r[0] for r in event_table.read_events(spark, silver).select("event_id").collect())
+
+    for i in range(4):
+        load(i, range(3 * i, 3 * i + 4))
+    begun, want = event_table.read_events(spark, silver), sorted(f"e{n}" for n in range(13))
+    assert ids() == want
+    publish, seen = event_table.publish, []
+
+    def late(*args):
+        seen.append(ids())  # the segment is written, the manifest is not
+        publish(*args)
+
+    monkeypatch.setattr(event_table, "publish", late)
+    new = event_table.compact(spark, silver)
+    assert seen == [want] and ids() == want and begun.count() == 13 and new.covered == {"no-stream": 2}
+    # a retried batch that the segment holds, new batches, and a second compaction by another writer
+    load(2, range(6, 10))
+    load(4, [12, 13])
+    assert ids() == sorted(f"e{n}" for n in range(14))
+    try:
+        publish(spark, silver, new)
+        raise AssertionError("two manifests of one version")
+    except RuntimeError:
+        pass
+    assert event_table.vacuum(spark, silver) == 3 and ids() == sorted(f"e{n}" for n in range(14))
+    for i in range(5, 8):
+        load(i, [i + 10])
+        event_table.compact(spark, silver, most_segments=2)
+        assert len(event_table.manifest(spark, silver).segments) <= 2 and len(ids()) == 10 + i
+    event_table.vacuum(spark, silver)
+    assert len(ids()) == 17
+
+
+def test_events_without_an_id_are_all_new(spark, tmp_path):
+    put(tmp_path / "land" / "date=2025-09-14" / "e.jsonl", event(1) + '{"event_type": "purchase"}\n')
+    run = lambda: pos.run_upsert(pos.read_event_stream(spark, str(tmp_path / "land")), str(tmp_path / "b"), str(tmp_path / "s"), str(tmp_path / "c"))
+    assert run() == 2
+    put(tmp_path / "land" / "date=2025-09-15" / "e.jsonl", event(1) + '{"event_type": "return"}\n')
+    assert run() == 1
 
 
 def test_disk_state_leaves_the_session_alone(spark):
