@@ -5,8 +5,8 @@ first, the leftmost on ties, and its new neighbours enter the agenda.  A merge n
 piece of the vocabulary spans their border, so a text is cut at such borders (before the first of a run of
 spaces; around characters that no longer piece contains; before a punctuation mark that no piece has behind the
 character at hand) and every distinct segment is merged once per worker.
-Segments new to a worker are checked against the sentencepiece library, Arrow batch by Arrow batch, and decoded by
-it; any difference stops the job.
+Segments new to a worker, and one whole text of every Arrow batch, are checked against the sentencepiece library; any
+difference stops the job.  The library decodes the ids of whole texts.
 
 Only vocabularies with an identity normalizer and byte fallback or unknown ids are handled; others are refused
 when the vocabulary is read."""
@@ -19,7 +19,6 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,21 +29,31 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from shelfline.llm import chunks as C
 
 SPACE = "▁"
-#: Segments, and words, that a worker remembers; about 150 MB each.
-REMEMBERED = 500_000
+#: Segments, and words, that a worker remembers in either of two generations; about 30 MB each.
+REMEMBERED = 150_000
 #: Segments of up to this many characters, all of them pieces, are merged side by side, others one by one.
 TOGETHER = 40
 NEVER = np.inf
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
-class Encoded(NamedTuple):
-    """A stretch of text: its ids as decimals with commas, what they decode to, their number, and as 32-bit integers."""
+class Remembered:
+    """Ids by key in two generations.  A key that is met again moves to the young one; when that is full it becomes the
+    old one, and what was not met since is forgotten."""
 
-    decimals: str
-    text: str
-    n: int
-    ids: bytes
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys that have to be learned; all others are in the young generation afterwards."""
+        if len(self.young) + len(keys) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        absent = keys - self.young.keys()
+        met = absent & self.old.keys()
+        old = self.old
+        self.young.update((k, old[k]) for k in met)
+        return list(absent - met) if met else list(absent)
 
 
 class Vocabulary:
@@ -89,18 +98,18 @@ class Vocabulary:
         self.segment = re.compile(f"{SPACE}+{inner}*|[{marks}]{inner}*|{inner}+" + (f"|[{alone}]" if alone else ""))
         self.decimal = list(map(str, range(len(proto.pieces))))
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.known: dict[str, Encoded] = {}
-        self.words: dict[str, Encoded] = {}
+        # ids as 32-bit integers, the most compact form of a remembered segment
+        self.known, self.words = Remembered(), Remembered()
 
-    def merged(self, segments: list[str]) -> list[list[int]]:
+    def merged(self, segments: list[str]) -> list[bytes]:
         """Ids of each segment, by its agenda."""
-        out: list[list[int] | None] = [None] * len(segments)
+        out: list[bytes] = [b""] * len(segments)
         short = []
         for i, segment in enumerate(segments):
             if len(segment) <= TOGETHER and self.foreign(segment) is None:
                 short.append(i)
             else:
-                out[i] = self._merged_alone(segment)
+                out[i] = array("i", self._merged_alone(segment)).tobytes()
         for i, ids in zip(short, self._merged_together([segments[i] for i in short])):
             out[i] = ids
         return out
@@ -111,7 +120,7 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.pair_keys, wanted), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == wanted, self.pair_piece[at], len(self.order) - 1)
 
-    def _merged_together(self, segments: list[str]) -> list[list[int]]:
+    def _merged_together(self, segments: list[str]) -> list[bytes]:
         """Agendas of many short segments side by side: an entry for each adjacent pair, all in one array.  In each
         round every segment merges its best pair, the leftmost of equals."""
         if not segments:
@@ -150,7 +159,7 @@ class Vocabulary:
             rank[changed] = self.order[piece[changed]]
         owner, symbol = np.concatenate(done_owner), np.concatenate(done_symbol)
         sort = np.argsort(owner, kind="stable")
-        ids, ends = symbol[sort].tolist(), np.cumsum(np.bincount(owner, minlength=len(segments))).tolist()
+        ids, ends = symbol[sort].astype(np.int32).tobytes(), (4 * np.cumsum(np.bincount(owner, minlength=len(segments)))).tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
     def _merged_alone(self, segment: str) -> list[int]:
@@ -200,59 +209,49 @@ class Vocabulary:
         return self.segment.findall(self.prefix + text.replace(" ", SPACE)) if text else []
 
     def learn(self, segments: set[str]) -> None:
-        """Merge segments that are new, compare them with the library's ids, and decode them with the library."""
-        new = [s for s in segments if s not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, list(segments)
+        """Merge segments that are new and compare them with the library's ids."""
+        new = self.known.missing(segments)
         ids = self.merged(new)
         # A segment that starts with a space is offered without it, as the library puts one in front; any other
         # one is offered behind a line break, which stands alone.
         spaced = [i for i, s in enumerate(new) if s[0] == SPACE and s != self.prefix]
         behind = [i for i, s in enumerate(new) if s[0] != SPACE] if "\n" in self.alone else []
         skip = len(self.library.encode("\n"))
-        offered = [new[i][len(self.prefix) :].replace(SPACE, " ") for i in spaced] + ["\n" + new[i] for i in behind]
-        found = self.library.encode(offered, num_threads=1)
-        found[len(spaced) :] = [own[skip:] for own in found[len(spaced) :]]
-        for i, own in zip(spaced + behind, found):
-            if own != ids[i]:
-                raise ValueError(f"differs from the library: {new[i]!r}")
-        decimal = self.decimal
-        # decoding takes the first space off
-        for s, own, decoded in zip(new, ids, self.library.decode(ids, num_threads=1) if ids else []):
-            text = " " + decoded if s[0] == SPACE else decoded
-            self.known[s] = Encoded(",".join([decimal[i] for i in own]), text, len(own), array("i", own).tobytes())
-
-    def joined(self, segments: list[str]) -> Encoded:
-        rows = [self.known[s] for s in segments]
-        if len(rows) == 1:
-            return rows[0]
-        decimals, text, n, ids = zip(*rows)
-        return Encoded(",".join(decimals), "".join(text), sum(n), b"".join(ids))
-
-    def encode(self, texts: list[str]) -> Iterator[Encoded]:
-        """The whole of each text.  Where single spaces and line breaks part its words, whole words are looked up, and
-        only new ones are cut to segments."""
+        for chosen, offered, own in (
+            (spaced, [new[i][len(self.prefix) :].replace(SPACE, " ") for i in spaced], 0),
+            (behind, ["\n" + new[i] for i in behind], skip),
+        ):
+            for i, found in zip(chosen, self.library.encode(offered, num_threads=1) if offered else []):
+                if array("i", found[own:]).tobytes() != ids[i]:
+                    raise ValueError(f"differs from the library: {new[i]!r}")
+        self.known.young.update(zip(new, ids))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each whole text.  Where single spaces and line breaks part its words, whole words are looked up,
+        and only new ones are cut to segments."""
         cut: list[tuple[bool, list[str]]] = []
         for text in texts:
             units = text.replace("\n", " \n").split(" ")
             plain = self.by_words and "" not in units and SPACE not in text
             cut.append((plain, units if plain else self.segments(text)))
-        words = {w for plain, units in cut if plain for w in units}
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words, new = {}, list(words)
-        # a word at the start of a line has the line break in front, any other one a space
-        parts = [self.segment.findall(w if w[0] == "\n" else SPACE + w) for w in new]
+        words = set().union(*(units for plain, units in cut if plain))
+        new = self.words.missing(words)
+        # a word at the start of a line has the line break in front, any other one a space; a word of letters is one segment
+        parts = [[SPACE + w] if w.isalpha() else self.segment.findall(w if w[0] == "\n" else SPACE + w) for w in new]
         self.learn(set().union(*parts, *(units for plain, units in cut if not plain)))
-        for w, segments in zip(new, parts):
-            self.words[w] = self.joined(segments)
-        for plain, units in cut:
-            rows = list(map((self.words if plain else self.known).__getitem__, units))
-            if rows:
-                decimals, text, n, ids = zip(*rows)
-                yield Encoded(",".join(decimals), "".join(text)[len(self.prefix) :], sum(n), b"".join(ids))
-            else:
-                yield Encoded("", "", 0, b"")
+        known = self.known.young.__getitem__
+        self.words.young.update((w, known(p[0]) if len(p) == 1 else b"".join(map(known, p))) for w, p in zip(new, parts))
+        word = self.words.young.__getitem__
+        return [b"".join(map(word if plain else known, units)) for plain, units in cut]
+
+    def check(self, text: str, ids: list[int]) -> None:
+        """One whole text against the library: the rule that cuts texts must hold for this vocabulary."""
+        if self.library.encode(text, num_threads=1) != ids:
+            raise ValueError("a text cut to segments differs from the library")
+
+    def decoded(self, ids: list[list[int]]) -> list[str]:
+        """What the library makes of the ids."""
+        return self.library.decode(ids, num_threads=1) if ids else []
 
 
 @lru_cache(maxsize=2)
@@ -275,19 +274,25 @@ def encode_decode(docs: DataFrame, path: str, keep_ids: bool = True, keep_decode
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = vocabulary(path)
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        found = list(known.encode(texts))
+        packed = known.encode(texts)
+        ids = [np.frombuffer(p, dtype=np.int32).tolist() for p in packed]
+        # the shortest text that was cut at all is checked whole
+        tried = min((i for i in range(len(texts)) if texts[i]), key=lambda i: len(texts[i]), default=None)
+        if tried is not None:
+            known.check(texts[tried], ids[tried])
+        decoded, decimal = known.decoded(ids), known.decimal
         columns = {
             "doc_id": batch.column("doc_id"),
-            "n_tokens": pa.array([e.n for e in found], pa.int64()),
-            "ids_sha256": pa.array([_sha256(e.decimals) for e in found], pa.string()),
-            "decoded_sha256": pa.array([_sha256(e.text) for e in found], pa.string()),
+            "n_tokens": pa.array(list(map(len, ids)), pa.int64()),
+            "ids_sha256": pa.array([_sha256(",".join([decimal[i] for i in own])) for own in ids], pa.string()),
+            "decoded_sha256": pa.array(list(map(_sha256, decoded)), pa.string()),
         }
         if keep_ids:
-            flat = np.frombuffer(b"".join([e.ids for e in found]), dtype=np.int32)
-            bounds = np.concatenate(([0], np.cumsum([e.n for e in found]))).astype(np.int32)
+            flat = np.frombuffer(b"".join(packed), dtype=np.int32)
+            bounds = np.concatenate(([0], np.cumsum(list(map(len, ids))))).astype(np.int32)
             columns["ids"] = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
         if keep_decoded:
-            columns["decoded"] = pa.array([e.text for e in found], pa.string())
+            columns["decoded"] = pa.array(decoded, pa.string())
         return pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

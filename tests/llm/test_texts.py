@@ -106,7 +106,7 @@ def test_both_forms_of_the_agenda(monkeypatch, small_rows, together):
     monkeypatch.setattr(pieces, "TOGETHER", together)
     known = pieces.Vocabulary(PIECES)
     texts = [d["text"][:3000] for d in small_rows[:60]] + ["a" * 500, "日本" * 200, "hello" * 99, "zqzq" * 120]
-    assert [np.frombuffer(e.ids, np.int32).tolist() for e in known.encode(texts)] == known.library.encode(texts)
+    assert [np.frombuffer(e, np.int32).tolist() for e in known.encode(texts)] == known.library.encode(texts)
 
 
 def test_pieces_forget_and_refuse(monkeypatch):
@@ -114,11 +114,14 @@ def test_pieces_forget_and_refuse(monkeypatch):
     known = pieces.Vocabulary(PIECES)
     texts = ["a b c d e f g", "  spaces   inside ", "line\nbreak\ttab", "日本語 😀", ""]
     for _ in range(2):
-        found = list(known.encode(texts))
-        assert [np.frombuffer(e.ids, np.int32).tolist() for e in found] == known.library.encode(texts)
-        assert [e.text for e in found] == known.library.decode(known.library.encode(texts))
-        assert [e.decimals for e in found] == [",".join(map(str, ids)) for ids in known.library.encode(texts)]
-    monkeypatch.setattr(known, "merged", lambda segments: [[1] for _ in segments])
+        found = [np.frombuffer(e, np.int32).tolist() for e in known.encode(texts)]
+        assert found == known.library.encode(texts)
+        assert known.decoded(found) == known.library.decode(known.library.encode(texts))
+        assert len(known.words.young) + len(known.words.old) <= 20
+    known.check("a b", known.library.encode("a b"))
+    with pytest.raises(ValueError, match="differs"):
+        known.check("a b", known.library.encode("ab"))
+    monkeypatch.setattr(known, "merged", lambda segments: [b"1234" for _ in segments])
     with pytest.raises(ValueError, match="differs"):
         list(known.encode(["quite new words"]))
 
