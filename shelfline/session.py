@@ -70,4 +70,16 @@ def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
     planner knows the table's real size."""
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned = df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned._pinned_at = path
+    return pinned
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Remove tables that ``pin`` wrote, once everything made of them is stored itself.  Other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_pinned_at", None)
+        if path is not None:
+            spark = df.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
