@@ -23,10 +23,15 @@ from shelfline.session import pin
 SHARD_CHARS = 16_000_000
 
 
+def beside(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns an operator uses, and the whole row in one more, so that no other column can clash with its own."""
+    return docs.select(*used, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the repetition rules.  Null and empty texts fail; repeated rows pass or fail together."""
     prepared(spark)
-    return repetition(docs).filter("kept").select(*docs.columns)
+    return repetition(beside(docs, "doc_id", "text")).filter("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +40,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows of equal id one stays, that of the smallest text.  Null ids stay; texts without words are linked with
     nothing and stay."""
     prepared(spark)
-    stays = near_duplicates(docs, n=5, percent=80).filter("kept AND doc_id IS NOT NULL").select("doc_id", F.lit(True).alias("stays")).distinct()
+    stays = near_duplicates(docs, n=5, percent=80).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    rows = beside(docs, "doc_id", "text")
     copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    single = docs.select("doc_id", F.struct(*docs.columns).alias("row"), copy.alias("copy")).filter("copy = 1 OR doc_id IS NULL")
-    return single.join(stays, "doc_id", "left").filter("stays OR doc_id IS NULL").select("row.*")
+    single = rows.filter("doc_id IS NOT NULL").withColumn("copy", copy).filter("copy = 1")
+    return single.join(stays, "doc_id", "left_semi").select("row.*").unionByName(docs.filter("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,15 +52,17 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Every document stays, with an empty text when all of it is repeats; one that loses nothing keeps its text."""
     prepared(spark)
-    return remove_repeats(docs, joined=False).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    found = remove_repeats(beside(docs, "doc_id", "text"), joined=False)
+    return found.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, shard by shard in shuffled order."""
     prepared(spark)
     levels = max(1, math.ceil(math.log2(max(2, text_size(docs) / SHARD_CHARS))))
-    rows = mix_rows(docs, levels=levels)
-    return rows.repartition("shard").sortWithinPartitions("shard", "place").select(*docs.columns)
+    rows = mix_rows(beside(docs, "doc_id", "text", "source"), levels=levels)
+    return rows.repartition("shard").sortWithinPartitions("shard", "place").select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 import shelfline
 
@@ -61,6 +62,11 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), extra.alias("rest"))
 
 
+def packed_schema(narrow: DataFrame, added: str) -> StructType:
+    """Schema of packed rows with further columns; fields that are never null stay so."""
+    return StructType([*StructType.fromDDL("doc_id long, text string"), StructField("rest", narrow.schema["rest"].dataType), *StructType.fromDDL(added)])
+
+
 def unpacked(df: DataFrame, docs: DataFrame, added: Iterable[str], text: bool = True) -> DataFrame:
     """The columns of ``docs`` in their order, then the operator's; on a clash the operator's column wins."""
     added = list(added)
@@ -108,7 +114,7 @@ def cut_points(bucket: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(bucket, np.arange(buckets + 1))
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
     """One output batch per input batch."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -148,8 +148,10 @@ def mix_rows(docs: DataFrame, seed: str = "mix", **how) -> DataFrame:
 
 
 def taken_words(docs: DataFrame, seed: str = "mix", **how) -> DataFrame:
-    """doc_id, size, source_size, target and taken (words the mix takes of the row), for every row of ``docs``."""
+    """doc_id, size, source_size, target, taken (words the mix takes of the row) and shards (where they go, as numbers
+    with commas, in the order of drawing), for every row of ``docs``."""
     sized = with_size(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text"), seed)
     sized = pin(sized.select("doc_id", "source", "size", "key", "block"), "mix-sizes")
     rows = take(sized, plan_blocks(sized, seed=seed, **how))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"))
+    taken, places = (F.col("size") * F.size("shards")).cast("long"), F.array_join(F.col("shards").cast("array<string>"), ",")
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), places.alias("shards"))

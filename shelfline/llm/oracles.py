@@ -97,7 +97,20 @@ SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_know
 FROM weighed GROUP BY doc_id, held_out, n
 """
 
-OP9 = rf"""
+def _op9(levels: int = 4) -> str:
+    """Sizes, targets and draws, then the splitting tree level by level."""
+    tree = "nodes0 AS (SELECT line, 0 AS node, count(*) AS quota FROM draws GROUP BY line)"
+    for level in range(levels):
+        tree += f""",
+units{level} AS (
+    SELECT line, node, row_number() OVER (PARTITION BY node ORDER BY md5('mix:{level}:' || node || ':' || line || ':' || unit), line, unit) AS drawn,
+           count(*) OVER (PARTITION BY node) AS n
+    FROM (SELECT line, node, unnest(range(1, quota + 1)) AS unit FROM nodes{level})
+),
+nodes{level + 1} AS (
+    SELECT line, 2 * node + CASE WHEN drawn <= (n + (node + {level}) % 2) // 2 THEN 0 ELSE 1 END AS node, count(*) AS quota FROM units{level} GROUP BY ALL
+)"""
+    return rf"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
            md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS key
@@ -136,12 +149,38 @@ offers AS (
     SELECT d.*, b.words AS block_words, target - rounds * source_size - before AS rest,
            sum(size) OVER (PARTITION BY d.line, d.block ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS upto
     FROM docs d JOIN blocks b ON b.line = d.line AND b.block = d.block
+),
+lines AS (
+    SELECT DISTINCT b.line, b.block, b.words AS block_words, row_number() OVER (PARTITION BY b.line ORDER BY md5(b.line || ':' || b.block), b.block) AS place,
+           target - floor(target / source_size) * source_size - before AS rest, floor(target / source_size)::BIGINT AS rounds
+    FROM blocks b JOIN targets t ON t.line = b.line WHERE source_size > 0
+),
+draws AS (
+    SELECT *, row_number() OVER (PARTITION BY line ORDER BY round, place) AS turn
+    FROM (SELECT line, block, place, unnest(range(rounds)) AS round, true AS is_whole FROM lines
+          UNION ALL SELECT line, block, place, rounds, rest >= block_words FROM lines WHERE rest > 0)
+),
+{tree},
+dealt AS (
+    SELECT line, node AS shard, row_number() OVER (PARTITION BY line ORDER BY node, unit) AS turn
+    FROM (SELECT line, node, unnest(range(1, quota + 1)) AS unit FROM nodes{levels})
+),
+homes AS (
+    SELECT line, block, coalesce(list(shard ORDER BY round, shard) FILTER (is_whole), []) AS wholes, max(shard) FILTER (NOT is_whole) AS part
+    FROM draws JOIN dealt USING (line, turn) GROUP BY ALL
+),
+taking AS (
+    SELECT o.*, coalesce(wholes, []) || CASE WHEN part IS NOT NULL AND 2 * upto - size <= 2 * rest THEN [part] ELSE [] END AS places
+    FROM offers o LEFT JOIN homes h ON h.line = o.line AND h.block = o.block
 )
-SELECT doc_id, size, source_size, target,
+SELECT doc_id, size, source_size, target, array_to_string(places, ',') AS shards,
        (size * (rounds + CASE WHEN rest > 0 AND (rest >= block_words OR 2 * upto - size <= 2 * rest) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM offers
+FROM taking
 """
 
+
+OP9 = _op9()
+
 OP10 = rf"""
 WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORD}') AS words FROM documents),
 shingles AS (

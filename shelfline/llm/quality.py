@@ -116,6 +116,5 @@ def repetition(docs: DataFrame) -> DataFrame:
         arrays += [pa.array(found[c], pa.int64()) for c in FIGURES] + [pa.array(failed), pa.array(kept)]
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", "text", "rest", *FIGURES, *VERDICTS])
 
-    rest = packed.schema["rest"].dataType.simpleString()
-    schema = f"doc_id long, text string, rest {rest}, " + ", ".join([f"{c} long" for c in FIGURES] + [f"{c} boolean" for c in VERDICTS])
+    schema = C.packed_schema(packed, ", ".join([f"{c} long" for c in FIGURES] + [f"{c} boolean" for c in VERDICTS]))
     return C.unpacked(C.map_batches(packed, add, schema), docs, [*FIGURES, *VERDICTS])

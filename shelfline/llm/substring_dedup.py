@@ -206,8 +206,6 @@ def remove_repeats(
     first = asked.groupBy("bucket").applyInArrow(answer_blocks, ANSWER)
     asked = by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(ask_windows, "chunk int, bucket int, keys binary, base long, docs binary")
     second = asked.groupBy("bucket").applyInArrow(answer_windows, ANSWER)
-    rest = parts.schema["rest"].dataType.simpleString()
-    out = f"doc_id long, text string, rest {rest}, {ADDED}"
-    result = by_chunk.cogroup(first.unionByName(second).groupBy("chunk")).applyInArrow(cut, out)
+    result = by_chunk.cogroup(first.unionByName(second).groupBy("chunk")).applyInArrow(cut, C.packed_schema(parts, ADDED))
     return C.unpacked(result, docs, ["n_words", "n_removed", "spans"])
 
