@@ -1,6 +1,7 @@
 """Operators on single texts and on words shared between texts, against plain versions."""
 
 import hashlib
+import random
 import zlib
 
 import brute
@@ -189,27 +190,66 @@ def distance(a, b):
     return min(row)
 
 
+def scanned(llm, texts):
+    rows = license_scan.scan(frame(llm, [{"doc_id": i, "text": t} for i, t in enumerate(texts)])).collect()
+    return [r for _, r in sorted((r.doc_id, r) for r in rows)]
+
+
 def test_license_notices_within_the_error_bound(llm):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy"
-    texts = {
-        1: f"start {mit} of this",
-        2: f"start {mit.replace('hereby', 'herby').replace('person', 'pers0n')} end",
-        3: "permission to do things is sometimes granted free of doubt to a person",
-        4: "Redistribuiton and use in source and binary form, with or without modification, are",
-        5: f"{mit}. {mit}",
-        6: "cc by and all rights reserved",
-        7: mit,
-    }
-    rows = {r.doc_id: r for r in license_scan.scan(frame(llm, [{"doc_id": i, "text": t} for i, t in texts.items()])).collect()}
-    for i, text in texts.items():
-        line = license_scan.words_line(text.encode()).decode()
-        want = {label for notice, label in license_scan.NOTICES.items() if distance(notice, line) <= len(notice) // license_scan.CHARS_PER_ERROR}
-        assert {s.label for s in rows[i].spans} == want
-    assert rows[1].labels == "mit" and rows[1].score == 1.0 and rows[1].spans[0][:2] == (1, 14)
-    assert rows[2].labels == "mit" and 0.9 < rows[2].score < 1
-    assert rows[3].labels == "" and rows[3].score == 0 and rows[4].labels == "bsd"
-    assert [s[:2] for s in rows[5].spans] == [(0, 13), (13, 26)]
-    assert rows[6].labels == rows[6].base_labels == "cc-by,reserved" and rows[6].spans == []
+    wrong = mit.replace("hereby", "herby").replace("person", "pers0n")
+    rows = scanned(
+        llm,
+        [
+            f"start {mit} of this",
+            f"start {wrong} end",
+            "permission to do things is sometimes granted free of doubt to a person",
+            "Redistribuiton and use in source and binary form, with or without modification, are",
+            f"{mit}. {mit}",
+            "cc by and all rights reserved",
+            f"{wrong} {mit} and {wrong}",
+        ],
+    )
+    assert rows[0].labels == "mit" and rows[0].score == 1.0 and rows[0].spans[0][:2] == (1, 14)
+    assert rows[1].labels == "mit" and 0.9 < rows[1].score < 1
+    assert rows[2].labels == "" and rows[2].score == 0 and rows[3].labels == "bsd"
+    assert [s[:2] for s in rows[4].spans] == [(0, 13), (13, 26)]
+    assert rows[5].labels == rows[5].base_labels == "cc-by,reserved" and rows[5].spans == []
+    assert [s[:2] for s in rows[6].spans] == [(0, 13), (13, 26), (27, 40)]
+
+
+def test_every_notice_is_told_apart_from_its_relatives(llm):
+    """Clean, and between other words: its own label and no other; an unknown short form has none."""
+    notices = list(license_scan.NOTICES.items())
+    rows = scanned(llm, [f"some words before {n} and some behind" for n, _ in notices] + ["spdx license identifier zlib", "SPDX-License-Identifier: MITx"])
+    for (notice, label), r in zip(notices, rows):
+        assert {s.label for s in r.spans} == {label}, notice
+        assert r.spans[0].likeness == 1.0
+    assert [r.labels for r in rows[-2:]] == ["", ""]
+
+
+def test_random_edits_against_edit_distance(llm):
+    """Recall and precision over texts with known edits: what is within the bound is found with its label."""
+    rng = random.Random(8)
+    notices = [(n, x) for n, x in license_scan.NOTICES.items() if not n.startswith(license_scan.SHORT_FORM)]
+    texts, want = [], []
+    for notice, label in notices * 4:
+        chars = list(notice)
+        for _ in range(rng.randrange(len(notice) // license_scan.CHARS_PER_ERROR + 4)):
+            at = rng.randrange(1, len(chars) - 1)
+            chars[at : at + 1] = rng.choice([[], [rng.choice("abcdefgh")], [chars[at], rng.choice("abcdefgh")]])
+        texts.append(f"xyzzy {''.join(chars)} plugh")
+        line = license_scan.words_line(texts[-1].encode()).decode()
+        near = {n: distance(n, line) / len(n) for n, _ in notices}
+        within = {n for n, d in near.items() if d * len(n) <= len(n) // license_scan.CHARS_PER_ERROR}
+        want.append((label, {license_scan.NOTICES[n] for n in within}, {license_scan.NOTICES[n] for n in within if near[n] == min(near.values())}))
+    right = 0
+    for r, (label, allowed, best) in zip(scanned(llm, texts), want):
+        found = {s.label for s in r.spans}
+        # nothing beyond the bound; word ends may cost the last error, so what is well within it is always found
+        assert found <= allowed
+        right += (label in found) if label in best else (not best or bool(found))
+    assert right >= 0.97 * len(texts)
 
 
 def test_token_files_round_trip(llm, small, small_rows, odd):
