@@ -67,7 +67,14 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         self.learn(set().union(*split))
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        found = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        # one whole text of a batch, the shortest of several words: a tokenizer that looks across words is refused
+        tried = min((i for i, words in enumerate(split) if len(words) > 1), key=lambda i: len(texts[i]), default=None)
+        if tried is not None:
+            whole = self.library.encode(texts[tried].decode(), add_special_tokens=False).ids
+            if array(self.kind.char, whole).tobytes() != found[tried]:
+                raise ValueError("a text encoded word by word differs from the library")
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -99,7 +106,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> D
         shard, end = task.partitionId(), np.array([end_id], dtype=tool.kind).tobytes()
         path, suffix = f"{folder}/shard-{shard:08d}", f".attempt-{task.taskAttemptId()}"
         store, local = _store(path)
-        ends, ids, sink = [0], [], None
+        ends, ids, sink = array("q", [0]), array("q"), None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -108,7 +115,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> D
             for encoded in tool.encode(C.column_bytes(batch)):
                 sink.write(encoded + end)
                 ends.append(ends[-1] + len(encoded) // tool.kind.itemsize + 1)
-            ids += [NO_ID if d is None else d for d in batch.column("doc_id").to_pylist()]
+            ids.extend(NO_ID if d is None else d for d in batch.column("doc_id").to_pylist())
         if sink is None:
             return
         sink.close()
@@ -132,29 +139,40 @@ def with_bases(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def _mapped(path: str, kind: np.dtype) -> np.ndarray:
-    store, local = _store(path)
-    if not store.get_file_info(local).size:
-        return np.empty(0, dtype=kind)
-    if isinstance(store, stores.LocalFileSystem):
-        return np.memmap(local, dtype=kind, mode="r")
-    with store.open_input_file(local) as file:
-        return np.frombuffer(file.read(), dtype=kind)
+class Flat:
+    """A flat file of integers: mapped into memory where it is a local file, else read range by range."""
+
+    def __init__(self, path: str, kind: np.dtype):
+        self.store, self.path = _store(path)
+        self.kind = kind
+        self.size = self.store.get_file_info(self.path).size // kind.itemsize
+        self.mapped = np.memmap(self.path, dtype=kind, mode="r") if self.local and self.size else None
+        self.file = self.store.open_input_file(self.path) if self.mapped is None else None
+
+    @property
+    def local(self) -> bool:
+        return isinstance(self.store, stores.LocalFileSystem)
+
+    def part(self, begin: int, end: int) -> np.ndarray:
+        if self.mapped is not None:
+            return self.mapped[begin:end]
+        wide = self.kind.itemsize
+        return np.frombuffer(self.file.read_at((end - begin) * wide, begin * wide), dtype=self.kind)
 
 
 def read_shards(manifest: DataFrame, rows: int = 4096) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens and ids_crc32 (of the ids as little-endian unsigned
-    32-bit integers), read from the files, one task per shard."""
+    32-bit integers), read from the files: as many tasks as shards, each holding the ids of one document."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.to_pylist():
-                ids = _mapped(shard["path"] + ".ids", np.dtype(f"<u{shard['width']}"))
-                offsets, docs = (_mapped(shard["path"] + k, np.dtype("<i8")) for k in (".offsets", ".docs"))
-                for at in range(0, len(docs), rows):
-                    own, cut = docs[at : at + rows], offsets[at : at + rows + 1]
-                    sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(cut[:-1], cut[1:])]
+                ids = Flat(shard["path"] + ".ids", np.dtype(f"<u{shard['width']}"))
+                offsets, docs = (Flat(shard["path"] + k, np.dtype("<i8")) for k in (".offsets", ".docs"))
+                for at in range(0, docs.size, rows):
+                    own, cut = docs.part(at, min(at + rows, docs.size)), offsets.part(at, min(at + rows, docs.size) + 1)
+                    sums = [zlib.crc32(ids.part(a, b).astype("<u4").tobytes()) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(own, pa.int64(), mask=own == NO_ID),
@@ -165,7 +183,8 @@ def read_shards(manifest: DataFrame, rows: int = 4096) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    return with_bases(manifest).repartition("shard").mapInArrow(read, schema)
+    # without a number, adaptive execution would put the few rows of the manifest, and so all files, into one task
+    return with_bases(manifest).repartition(max(1, manifest.count()), "shard").mapInArrow(read, schema)
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:

@@ -252,6 +252,32 @@ def test_random_edits_against_edit_distance(llm):
     assert right >= 0.97 * len(texts)
 
 
+def test_one_read_task_a_shard_and_ranged_reads(llm, tmp_path, small, monkeypatch):
+    """Adaptive execution must not gather the shards in one task; a store without files reads the same by ranges."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    llm.conf.set(key, "false")
+    manifest = token_files.write_shards(small, scratch(llm, "shards"), WORDS, 2)
+    llm.conf.set(key, "true")
+    read = token_files.read_shards(manifest)
+    want = told(tuple(r) for r in read.collect())
+    assert read.rdd.getNumPartitions() == manifest.count() > 1
+    row = manifest.first()
+    whole = token_files.Flat(row.path + ".docs", np.dtype("<i8"))
+    monkeypatch.setattr(token_files.Flat, "local", property(lambda self: False))
+    ranged = token_files.Flat(row.path + ".docs", np.dtype("<i8"))
+    assert ranged.mapped is None and (ranged.size, ranged.part(1, 3).tolist()) == (whole.size, whole.part(1, 3).tolist())
+    assert want
+
+
+def test_unfit_tokenizers_are_refused(monkeypatch):
+    """Texts are encoded word by word: a tokenizer to which the space before a word matters must not pass."""
+    import public_tokenizers
+
+    unfit = token_files.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    with pytest.raises(ValueError, match="differs"):
+        unfit.encode([b"some words in a row", b"some longer text than the first one"])
+
+
 def test_token_files_round_trip(llm, small, small_rows, odd):
     library = Tokenizer.from_file(WORDS)
     for table, docs in ((small.repartition(5), small_rows), (frame(llm, odd), odd)):
@@ -267,6 +293,11 @@ def test_token_files_round_trip(llm, small, small_rows, odd):
 
 @pytest.mark.parametrize("name", [n for n in QUERIES])
 def test_empty_table(llm, tmp_path, small, name):
-    small.filter("doc_id < 0").write.parquet(str(tmp_path / "documents.parquet"))
+    for table in ("documents", "embeddings", "conversations"):
+        rows = llm.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
+        rows.limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
     found = QUERIES[name](llm, str(tmp_path))
-    assert found.columns[0] == "doc_id" and found.collect() == []
+    if name == "op13_chat_formatting":
+        assert [r.conv_id for r in found.collect()] == [-1]  # the conversation that the query adds
+    else:
+        assert found.columns[0] in ("doc_id", "anchor_id", "conv_id") and found.collect() == []
