@@ -11,7 +11,8 @@ FOLDER = "/root/testdata/sf0.001"
 QUICK = (
     "growth_bridge fx_daily inflation_yoy weather_weekly scd2_customers scd2_products scd2_profiles pit_profile asof_price price_contiguity "
     "returns_eur sellout_clean sellout_rejects sellin_sellout promo_performance demand_weekly dq_sales reconcile_counts naive_gap pass_rate "
-    "latest_run kpi_sales kpi_rows_top12 pos_events pos_daily lag_features row_filter visibility"
+    "latest_run kpi_sales kpi_rows_top12 pos_events pos_daily lag_features row_filter visibility "
+    "access_rule_sql mask_sql manifest_check partition_pruned reconciliation_log build_logged kpi_sales_page"
 ).split()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables missing")
