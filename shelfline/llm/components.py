@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.session import pin
+from shelfline.session import pin, release
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,6 +23,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         jump = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
         moved = pin(lower.join(jump, "next").select("id", "label", F.least("next", "far").alias("next")), "labels")
         changed = not moved.filter("next <> label").isEmpty()
+        release(labels)
         labels = moved.select("id", F.col("next").alias("label"))
+        labels._pinned_at = moved._pinned_at
         if not changed:
+            release(both)
             return labels

@@ -13,7 +13,7 @@ No link is lost to the star shape.  Two members that are linked, but not both to
 the centre by much the same shingles: of the differences of either, the two share more than a known number.  So
 each member of a star goes on to buckets named by (centre, shingle) for the first of its differences, in an order
 common to the star, as many as that number allows (a prefix filter); members that can be linked meet in one of
-them.  These buckets are stars again, of up to 1024 centres, until every bucket is one component.  Near copies of one text with edits of
+them.  These buckets are stars again, of more and more centres, until every bucket is one component.  Near copies of one text with edits of
 their own share next to no differences and part at once, however many they are."""
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from shelfline.llm import chunks as C
 from shelfline.llm.components import components
 from shelfline.llm.hashing import mix, ngram_hashes, word_hashes, words_of
-from shelfline.session import pin
+from shelfline.session import pin, release
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
@@ -183,7 +183,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int, seen: Broadcast[n
     return C.map_batches(joined, compare, "a long, b long, linked boolean, size long, apart long, own array<long>, more array<long>")
 
 
-#: Centres of a bucket grow by this factor from round to round.
+#: Centres of a bucket grow by this factor from round to round; labels are told anew in between.
 MORE_CENTRES = 1024
 
 
@@ -225,8 +225,11 @@ def _stars(rows: DataFrame, centres: int, percent: int) -> DataFrame:
     met = met.groupBy("a", F.col("id").alias("b")).agg(F.max(goes_on).alias("goes_on"))
     # a star of one member has nothing further to compare
     met = pin(met, "pairs")
+    release(rows)
     several = met.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    return pin(met.join(several, "a").select("a", "b", (F.col("goes_on") & (F.col("n") > 1)).alias("goes_on")), "pairs")
+    pairs = pin(met.join(several, "a").select("a", "b", (F.col("goes_on") & (F.col("n") > 1)).alias("goes_on")), "pairs")
+    release(met)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -248,25 +251,29 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     while True:
         if sets is None:
             involved = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-            sets = pin(_sets(narrow.join(involved, "doc_id", "left_semi"), n), "shingles")
+            # the ids of all candidates grow with the corpus: texts are sorted to them, whatever their number
+            sets = pin(_sets(narrow.join(involved.hint("merge"), "doc_id", "left_semi"), n), "shingles")
             seen = docs.sparkSession.sparkContext.broadcast(_seen(sets))
         found = pin(_compared(pairs, sets, percent, seen), "compared")
-        new = found.filter("linked").select("a", "b")
+        new = pin(found.filter("linked").select("a", "b"), "links")
         edges = new if edges is None else edges.unionByName(new)
         if labels is None or not new.isEmpty():
-            labels = components(edges)
+            before, labels = labels, components(edges)
+            release(before)
         named = found.join(labels.select(F.col("id").alias("b"), "label"), "b", "left").withColumn("label", F.coalesce("label", "b"))
         parts = [
             named.select(F.explode(c).alias("shingle"), "a", F.col("b").alias("id"), "label", "size", "apart", F.lit(c == "own").alias("lead")) for c in ("own", "more")
         ]
-        rows = pin(parts[0].unionByName(parts[1]).select(F.xxhash64("a", "shingle").alias("bucket"), "id", "label", "size", "apart", "lead"), "differences")
-        mixed = rows.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("lead").alias("led"))
+        apart = pin(parts[0].unionByName(parts[1]).select(F.xxhash64("a", "shingle").alias("bucket"), "id", "label", "size", "apart", "lead"), "differences")
+        mixed = apart.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("lead").alias("led"))
         mixed = mixed.filter("led AND least <> most").select("bucket")
-        rows = pin(rows.join(mixed, "bucket", "left_semi"), "open")
+        rows = pin(apart.join(mixed, "bucket", "left_semi"), "open")
+        release(pairs, found, apart)
         if rows.isEmpty():
             break
         centres *= MORE_CENTRES
         pairs = _stars(rows, centres, percent)
+        release(rows)
     reach = heads.select("same", "id").join(labels, "id", "left").select("same", F.coalesce("label", "id").alias("reach"))
     placed = sketches.join(reach, "same", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("reach", "doc_id")).alias("component_id"))
     return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
