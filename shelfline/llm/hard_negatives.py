@@ -12,7 +12,7 @@ its best positives, then, once the windows are known, the best negatives of each
 ``positives`` or ``positives * negatives`` keys an anchor, however many rows its block has.
 
 Scores are inner products of floor(256 * x), exact integers: by floating point while sums stay below 2**53, by 64-bit
-integers below 2**63, and by unbounded ones beyond, where scores end at the limits of 64 bits."""
+integers below 2**62, and by unbounded ones beyond, where scores end at the limits of 64 bits."""
 
 from __future__ import annotations
 

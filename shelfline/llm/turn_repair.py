@@ -55,7 +55,7 @@ CLOSED_END = _closed(list(END))
 
 
 @lru_cache(maxsize=len(CODES))
-def _edits(code: str) -> list[tuple[int, list[tuple[str, int, int]]]]:
+def _edits(code: str) -> list[list[tuple[str, int, int]]]:
     """By state: letters that use up a row of this code, their costs and the states after them; D, K, R in order."""
     initial, fault = DECODED[code]
     left = TRUNCATED if fault == "t" else 0
@@ -86,13 +86,8 @@ def checkpoints(codes: str, after: tuple[int, ...]) -> tuple[int, dict[int, tupl
     return step, stored
 
 
-def walk(codes: str, after: tuple[int, ...], state: int, last: bool) -> tuple[str, int, int]:
-    """ASCII-least tight letters from ``state``, the state behind them, and their cost with all that follows."""
-    step, stored = checkpoints(codes, after)
-    return _forward(codes, step, stored, state, last)
-
-
 def _forward(codes: str, step: int, stored: dict, state: int, last: bool) -> tuple[str, int, int]:
+    """ASCII-least tight letters from ``state``, the state behind them, and their cost with all that follows."""
     cost, letters = stored[0][state], []
     for start in range(0, len(codes), step):
         end = min(start + step, len(codes))
