@@ -13,8 +13,11 @@ No link is lost to the star shape.  Two members that are linked, but not both to
 the centre by much the same shingles: of the differences of either, the two share more than a known number.  So
 each member of a star goes on to buckets named by (centre, shingle) for the first of its differences, in an order
 common to the star, as many as that number allows (a prefix filter); members that can be linked meet in one of
-them.  These buckets are stars again, of more and more centres, until every bucket is one component.  Near copies of one text with edits of
-their own share next to no differences and part at once, however many they are."""
+them.  Of the members that meet there and are not of one component yet, those are compared on full sets that pass
+three exact bounds: the numbers of their differences, the places of the shared shingle in the two orders (what
+follows must still hold the shared differences that a link asks for), and the parities of both sets in 1024 slots
+(the slots that disagree are at most the shingles by which the sets differ).  Near copies of one text with edits of
+their own fail these bounds and part at once, however many they are."""
 
 from __future__ import annotations
 
@@ -24,7 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import chunks as C
@@ -164,27 +167,51 @@ def _after(x: np.ndarray, y: np.ndarray, percent: int, seen: np.ndarray) -> tupl
     return linked, n, apart[:own], apart[own:more]
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int, seen: Broadcast[np.ndarray]) -> DataFrame:
-    """(a, b, linked, size, apart, own, more) for pairs (centre a, member b, goes_on)."""
+#: Slots of the parities of a set.
+PARITIES = 1024
+
+
+def _parities(shingles: np.ndarray) -> np.ndarray:
+    """For each slot, whether it has an odd number of the set's shingles, 64 slots an integer."""
+    slot = ((shingles >> np.uint64(20)) & np.uint64(PARITIES - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=PARITIES) & 1).astype(bool)).view(np.int64)
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    joined = pairs.join(b, "b").join(a, "a").select("a", "b", "goes_on", "set_a", "set_b")
+    return pairs.join(b, "b").join(a, "a").select(*pairs.columns, "set_a", "set_b")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int, seen: Broadcast[np.ndarray]) -> DataFrame:
+    """(a, b, linked, size, apart, own, more, parities) for pairs (centre a, member b, goes_on)."""
 
     def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for one, other, goes_on in zip(*(batch.column(c).to_pylist() for c in ("set_a", "set_b", "goes_on"))):
             member = np.frombuffer(other, dtype=np.uint64)
             linked, apart, own, more = _after(np.frombuffer(one, dtype=np.uint64), member, percent, seen.value)
-            rows.append((linked, len(member), apart, *((own.view(np.int64), more.view(np.int64)) if goes_on else (None, None))))
-        kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            rows.append((linked, len(member), apart, *((own.view(np.int64), more.view(np.int64), _parities(member)) if goes_on else (None, None, None))))
+        kinds = [pa.bool_(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3]
         arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
-        return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *arrays], ["a", "b", "linked", "size", "apart", "own", "more"])
+        return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *arrays], ["a", "b", "linked", "size", "apart", "own", "more", "parities"])
+
+    schema = "a long, b long, linked boolean, size long, apart long, own array<long>, more array<long>, parities array<long>"
+    return C.map_batches(_with_sets(pairs, sets), compare, schema)
 
-    return C.map_batches(joined, compare, "a long, b long, linked boolean, size long, apart long, own array<long>, more array<long>")
 
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked on full sets."""
+
+    def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for one, other in zip(*(batch.column(c).to_pylist() for c in ("set_a", "set_b"))):
+            x, y = np.frombuffer(one, dtype=np.uint64), np.frombuffer(other, dtype=np.uint64)
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-#: Centres of a bucket grow by this factor from round to round; labels are told anew in between.
-MORE_CENTRES = 1024
+    return C.map_batches(_with_sets(pairs, sets), compare, "a long, b long")
 
 
 def _hubs(rows: DataFrame) -> DataFrame:
@@ -199,39 +226,45 @@ def _hubs(rows: DataFrame) -> DataFrame:
     return hubs.select("bucket", (-F.col("hub.minus")).alias("a"))
 
 
-def _stars(rows: DataFrame, centres: int, percent: int) -> DataFrame:
-    """(a, b, goes_on): centre and member.  With one centre it is the hub of every bucket of rows (bucket, id, label,
-    lead), otherwise up to ``centres`` members, of which only leads can be centres.  ``goes_on`` when leads of the
-    bucket are left that have not been compared with its members.  Unless that is so, members known to be of one
-    component are not compared, nor those whose numbers of differences from the centre before are too far apart for
-    a link (they differ by at least as many shingles as these numbers do)."""
-    shape = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("lead").cast("int")).alias("leads"))
-    rows = pin(rows.join(shape.filter("members > 1 AND leads > 0"), "bucket"), "buckets")
-    if centres == 1:
-        chosen = _hubs(rows)
-        met, goes_on = rows.join(chosen, "bucket").filter("id <> a"), F.lit(True)
-    else:
-        weight = rows.groupBy("id").agg(F.sum("members").alias("weight"))
-        leads = rows.filter("lead").select("bucket", "id", "label", "size", "apart").join(weight, "id")
-        order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "id")
-        ranked = leads.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= centres)
-        chosen = ranked.select(*[F.col(c).alias(f"c_{c}") for c in ("bucket", "label", "size", "apart")], F.col("id").alias("a"))
-        goes_on = F.col("leads") > centres
-        gap = F.abs(F.col("apart") - F.col("c_apart")) * (100 + percent)
-        # a pair of two leads comes up once, with the smaller one as the centre
-        once = ~F.col("lead") | (F.col("id") > F.col("a"))
-        open_pair = once & (F.col("label") != F.col("c_label")) & (gap <= (F.col("size") + F.col("c_size")) * (100 - percent))
-        met = rows.join(chosen, (F.col("bucket") == F.col("c_bucket")) & (F.col("id") != F.col("a")) & (goes_on | open_pair))
-    met = met.groupBy("a", F.col("id").alias("b")).agg(F.max(goes_on).alias("goes_on"))
-    # a star of one member has nothing further to compare
-    met = pin(met, "pairs")
+def _stars(rows: DataFrame) -> DataFrame:
+    """(a, b, goes_on): centre and member, for the hub of every bucket of rows (bucket, id).  A star of one member
+    has nothing further to compare and does not go on."""
+    crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    rows = pin(rows.join(crowded, "bucket"), "buckets")
+    met = pin(rows.join(_hubs(rows), "bucket").filter("id <> a").select("a", F.col("id").alias("b")).distinct(), "stars")
     release(rows)
     several = met.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    pairs = pin(met.join(several, "a").select("a", "b", (F.col("goes_on") & (F.col("n") > 1)).alias("goes_on")), "pairs")
+    pairs = pin(met.join(several, "a").select("a", "b", (F.col("n") > 1).alias("goes_on")), "pairs")
     release(met)
     return pairs
 
 
+def _differences(named: DataFrame) -> DataFrame:
+    """(bucket, id, label, size, apart, place, lead) of members that go on; ``place`` is the shingle's in their order."""
+    kept = ("a", F.col("b").alias("id"), "label", "size", "apart")
+    own = named.select(F.posexplode("own").alias("place", "shingle"), F.lit(True).alias("lead"), *kept)
+    more = named.select(F.posexplode("more").alias("behind", "shingle"), F.lit(False).alias("lead"), *kept, F.size("own").alias("before"))
+    more = more.withColumn("place", F.col("before") + F.col("behind")).drop("before", "behind")
+    return own.unionByName(more).select(F.xxhash64("a", "shingle").alias("bucket"), "id", "label", "size", "apart", "place", "lead")
+
+
+def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of one bucket, at least one of them a lead, that are of different components and can be linked:
+    sets of sizes s and t are linked when they differ by at most (100 - percent) / (100 + percent) (s + t) shingles."""
+    other = rows.filter("lead").select(*[F.col(c).alias(f"c_{c}") for c in ("bucket", "label", "size", "apart", "place", "parities")], F.col("id").alias("a"))
+    limit = (F.col("size") + F.col("c_size")) * (100 - percent)
+    # a pair of two leads comes up once, with the smaller one first
+    once = ~F.col("lead") | (F.col("id") > F.col("a"))
+    gap = F.abs(F.col("apart") - F.col("c_apart")) * (100 + percent) <= limit
+    # the first shingle that two linked members share has all the others they share behind it, in both orders
+    left = F.least(F.col("apart") - F.col("place"), F.col("c_apart") - F.col("c_place"))
+    placed = (F.col("apart") + F.col("c_apart") - 2 * left) * (100 + percent) <= limit
+    odd = sum((F.bit_count(F.col("parities")[i].bitwiseXOR(F.col("c_parities")[i])) for i in range(PARITIES // 64)), F.lit(0))
+    close = odd * (100 + percent) <= limit
+    met = (F.col("bucket") == F.col("c_bucket")) & (F.col("id") != F.col("a")) & (F.col("label") != F.col("c_label")) & once & gap & placed & close
+    return rows.join(other, met).select("a", F.col("id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links of at least ``percent`` percent of
     intersection over union of word ``n``-shingles, A-Z lowered) and kept (doc_id = component_id).
@@ -245,35 +278,30 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     usable = sketches.filter("doc_id IS NOT NULL AND same IS NOT NULL")
     heads = usable.groupBy("same").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
     heads = pin(heads, "classes")
-    rows = heads.select(F.explode("bands").alias("bucket"), "id", F.col("id").alias("label"), F.lit(True).alias("lead"))
-    centres, sets, edges, labels = 1, None, None, None
-    pairs = _stars(rows, centres, percent)
-    while True:
-        if sets is None:
-            involved = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-            # the ids of all candidates grow with the corpus: texts are sorted to them, whatever their number
-            sets = pin(_sets(narrow.join(involved.hint("merge"), "doc_id", "left_semi"), n), "shingles")
-            seen = docs.sparkSession.sparkContext.broadcast(_seen(sets))
-        found = pin(_compared(pairs, sets, percent, seen), "compared")
-        new = pin(found.filter("linked").select("a", "b"), "links")
-        edges = new if edges is None else edges.unionByName(new)
-        if labels is None or not new.isEmpty():
-            before, labels = labels, components(edges)
-            release(before)
-        named = found.join(labels.select(F.col("id").alias("b"), "label"), "b", "left").withColumn("label", F.coalesce("label", "b"))
-        parts = [
-            named.select(F.explode(c).alias("shingle"), "a", F.col("b").alias("id"), "label", "size", "apart", F.lit(c == "own").alias("lead")) for c in ("own", "more")
-        ]
-        apart = pin(parts[0].unionByName(parts[1]).select(F.xxhash64("a", "shingle").alias("bucket"), "id", "label", "size", "apart", "lead"), "differences")
-        mixed = apart.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("lead").alias("led"))
-        mixed = mixed.filter("led AND least <> most").select("bucket")
-        rows = pin(apart.join(mixed, "bucket", "left_semi"), "open")
-        release(pairs, found, apart)
-        if rows.isEmpty():
-            break
-        centres *= MORE_CENTRES
-        pairs = _stars(rows, centres, percent)
-        release(rows)
+    pairs = _stars(heads.select(F.explode("bands").alias("bucket"), "id"))
+    involved = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    # the ids of all candidates grow with the corpus: texts are sorted to them, whatever their number
+    sets = pin(_sets(narrow.join(involved.hint("merge"), "doc_id", "left_semi"), n), "shingles")
+    seen = docs.sparkSession.sparkContext.broadcast(_seen(sets))
+    found = pin(_compared(pairs, sets, percent, seen), "compared")
+    release(pairs)
+    links = pin(found.filter("linked").select("a", "b"), "links")
+    labels = components(links)
+    named = found.join(labels.select(F.col("id").alias("b"), "label"), "b", "left").withColumn("label", F.coalesce("label", "b"))
+    apart = pin(_differences(named), "differences")
+    mixed = apart.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("lead").alias("led"))
+    mixed = mixed.filter("led AND least <> most").select("bucket")
+    # an id of several sets has the parities of all of them at each of its differences
+    parities = found.filter("parities IS NOT NULL").select(F.col("b").alias("id"), "parities").distinct()
+    rows = pin(apart.join(mixed, "bucket", "left_semi").join(parities, "id"), "open")
+    release(found, apart)
+    pairs = pin(_open_pairs(rows, percent), "pairs")
+    release(rows)
+    more = pin(_links(pairs, sets, percent), "links")
+    if not more.isEmpty():
+        before, labels = labels, components(links.unionByName(more))
+        release(before)
+    release(pairs, sets, links, more)
     reach = heads.select("same", "id").join(labels, "id", "left").select("same", F.coalesce("label", "id").alias("reach"))
     placed = sketches.join(reach, "same", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("reach", "doc_id")).alias("component_id"))
     return placed.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

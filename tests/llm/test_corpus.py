@@ -1,5 +1,6 @@
 """Operators on the corpus as a whole, and the pipeline, against plain versions."""
 
+import random
 from collections import Counter
 
 import brute
@@ -10,6 +11,7 @@ from llm_data import frame, llm, odd, small, small_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from shelfline.llm import near_dedup
 from shelfline.llm.catalog import PIECES, QUERIES
 from shelfline.llm.components import components
 from shelfline.llm.mixing import mix_rows, taken_words
@@ -49,6 +51,56 @@ def test_near_dedup_chains_and_large_groups(llm):
     assert told(got) == told((i, n, c, i == c) for i, (n, c) in want.items())
 
 
+def test_near_dedup_compares_few_near_copies(llm, monkeypatch):
+    """Near copies of one text whose edits come from few words: many are unlike the centre and share edits with each
+    other, yet hardly any are linked; what is compared on full sets stays near the number of documents."""
+    rng = random.Random(8)
+    edits, base, docs = [f"e{k}" for k in range(12)], [f"b{k}" for k in range(150)], []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice((2, 5, 8, 12, 14))):
+            words[at] = rng.choice(edits)
+        docs.append({"doc_id": i, "text": " ".join(words)})
+    compared, pin = [], near_dedup.pin
+
+    def counted(df, label):
+        pinned = pin(df, label)
+        if label == "pairs":
+            compared.append(pinned.count())
+        return pinned
+
+    monkeypatch.setattr(near_dedup, "pin", counted)
+    got = [tuple(r) for r in near_duplicates(frame(llm, docs), 2).collect()]
+    want = brute.near_components(docs, 2)
+    assert told(got) == told((i, n, c, i == c) for i, (n, c) in want.items())
+    assert sum(compared) < 5 * len(docs)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_bounds_of_open_pairs_lose_no_link(llm, percent):
+    """Members of one centre: every link between different components is among the pairs that are left to compare."""
+    rng = np.random.default_rng(percent)
+    centre, pool = np.arange(1, 101, dtype=np.uint64) * np.uint64(2**32 + 977), rng.integers(0, 2**64, 60, dtype=np.uint64)
+    members = [np.unique(np.concatenate((rng.choice(centre, 100 - int(rng.integers(0, 30)), replace=False), rng.choice(pool, int(rng.integers(0, 45)), replace=False)))) for _ in range(70)]
+    seen = np.zeros(near_dedup.SLOTS, dtype=np.int32)
+    after = [_after(centre, m, percent, seen) for m in members]
+    schema = "a long, b long, label long, size long, apart long, own array<long>, more array<long>, parities array<long>"
+    rows = [
+        (-1, i, -1 if linked else i, len(m), n, own.view(np.int64).tolist(), more.view(np.int64).tolist(), near_dedup._parities(m).tolist())
+        for i, (m, (linked, n, own, more)) in enumerate(zip(members, after))
+    ]
+    named = llm.createDataFrame(rows, schema)
+    found = near_dedup._differences(named).join(named.select(F.col("b").alias("id"), "parities"), "id")
+    left = {tuple(sorted(r)) for r in near_dedup._open_pairs(found, percent).collect()}
+    links = set()
+    for i, x in enumerate(members):
+        for j in range(i):
+            shared = len(np.intersect1d(x, members[j]))
+            if 100 * shared >= percent * (len(x) + len(members[j]) - shared) and not (after[i][0] and after[j][0]):
+                links.add((j, i))
+    assert links <= left
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(5)
     for size, shared in ((400, 300), (12, 9), (2, 1)):
