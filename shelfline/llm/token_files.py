@@ -9,6 +9,7 @@ the attempt, then renamed, so a repeated task leaves one whole file.  Readers ma
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -16,11 +17,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as stores
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from shelfline.llm import chunks as C
 from shelfline.session import pin, scratch
@@ -32,48 +34,110 @@ NO_ID = np.iinfo(np.int64).min
 MANIFEST = "shard int, path string, width int, n_docs long, n_ids long"
 
 
+#: Latin letters, each one code point.
+LATIN = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+#: Marks cut off behind words, of tokenizers whose way with Latin words is known and of others.
+MARKS, FEW_MARKS = ",.;:!?&$#*%\"')]}", ",.;:!?"
+#: Words that are encoded as one text.
+TOGETHER = 1000
+#: Bytes of text that a task encodes at a time.
+HELD_BYTES = 4_000_000
+
+
 class WordEncoder:
     """Ids of a text word by word.  For tokenizers whose pre-tokens never span white space, nor a letter and the
     closing punctuation behind it; each distinct word without its punctuation is encoded by the library once per
-    worker."""
+    worker.  Latin words go many at a time to the library's model where the tokenizer does no more to them than
+    lower their letters (`plain`)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
         self.library = Tokenizer.from_file(path)
         size = self.library.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.plain = self._plain(path)
+
+    def _plain(self, path: str) -> Tokenizer | None:
+        """The same model without normalizer and with nothing but white space between pre-tokens; None when it and
+        the tokenizer disagree on any two Latin letters, in either case, or on a mark behind one."""
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        letters = [chr(c) for c in range(256) if re.fullmatch(LATIN, chr(c))]
+        pairs = [x + y for x in letters for y in letters]
+        if self._by_one(pairs) != self._by_many([p.lower() for p in pairs]):
+            return None
+        marked = [x + y for x in ("a", "É") for y in MARKS]
+        if self._by_one(marked) != [x + y for x, y in zip(self._by_one([m[0] for m in marked]), self._by_one([m[1] for m in marked]))]:
+            return None
+        return self.plain
+
+    def _by_one(self, words: list[str]) -> list[bytes]:
+        return [array(self.kind.char, e.ids).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _by_many(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case Latin words."""
+        out = []
+        for at in range(0, len(words), TOGETHER):
+            few = words[at : at + TOGETHER]
+            encoding = self.plain.encode(" ".join(few), add_special_tokens=False)
+            cut = (np.searchsorted(np.array(encoding.word_ids, dtype=np.int64), np.arange(len(few) + 1)) * self.kind.itemsize).tolist()
+            ids = np.array(encoding.ids, dtype=self.kind).tobytes()
+            out += [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        return out
+
+    def learn(self, words: list[str]) -> None:
         new = [w for w in words if w not in self.words]
         if len(self.words) + len(new) > REMEMBERED:
-            self.words, new = {}, list(words)
-        cut = []
-        for word in new:
-            core = word.rstrip(b",.;:!?")
-            # a mark behind anything but a letter may belong to a longer run of marks
-            cut.append((core, word[len(core) :]) if core[-1:].isalpha() else (word, b""))
-        parts = {p for pair in cut for p in pair if p not in self.parts}
-        if len(self.parts) + len(parts) > REMEMBERED:
-            self.parts, parts = {}, {p for pair in cut for p in pair}
-        listed = list(parts)
-        found = self.library.encode_batch_fast([p.decode() for p in listed], add_special_tokens=False)
-        for part, encoding in zip(listed, found):
-            self.parts[part] = array(self.kind.char, encoding.ids).tobytes()
-        for word, (core, marks) in zip(new, cut):
-            self.words[word] = self.parts[core] + self.parts[marks]
+            self.words = {w: self.words[w] for w in words if w in self.words}
+        listed = pa.array(new, pa.large_string())
+        cores = pc.utf8_rtrim(listed, MARKS if self.plain else FEW_MARKS)
+        latin = pc.match_substring_regex(cores, f"^{LATIN}$") if self.plain else pa.array([False] * len(new), pa.bool_())
+        # a mark behind anything but a letter may belong to a longer run of marks
+        whole = pc.invert(pc.or_(latin, pc.match_substring_regex(cores, "[A-Za-z]$")))
+        cores = pc.if_else(whole, listed, pc.if_else(latin, pc.utf8_lower(cores), cores)).to_pylist()
+        marks = [w[len(core) :] for w, core in zip(new, cores)]
+        kinds = latin.to_pylist()
+        many = {core for core, kind in zip(cores, kinds) if kind}
+        one = {core for core, kind in zip(cores, kinds) if not kind}
+        one.update(marks)
+        many, one = many.difference(self.parts), one.difference(self.parts)
+        if len(self.parts) + len(many) + len(one) > REMEMBERED:
+            self.parts = {p: self.parts[p] for some in (cores, marks) for p in some if p in self.parts}
+        one -= many
+        for some, found in ((many, self._by_many), (one, self._by_one)):
+            parts = list(some)
+            self.parts.update(zip(parts, found(parts)))
+        part = self.parts
+        self.words.update(zip(new, [part[core] + part[mark] if mark else part[core] for core, mark in zip(cores, marks)]))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        found = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self.learn(words)
+        known = list(map(self.words.__getitem__, words))
+        size = np.fromiter(map(len, known), np.int64, len(known)) // self.kind.itemsize
+        pool = np.frombuffer(b"".join(known), dtype=self.kind)
+        # the ids of all words in a row: for each word its stretch of the pool
+        word = coded.indices.to_numpy()
+        sizes = size[word]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        ids = pool[np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[word] - ends[:-1], sizes)].tobytes()
+        offsets = split.offsets.to_numpy()
+        cut = (ends[offsets - offsets[0]] * self.kind.itemsize).tolist()
+        found = [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
         # one whole text of a batch, the shortest of several words: a tokenizer that looks across words is refused
-        tried = min((i for i, words in enumerate(split) if len(words) > 1), key=lambda i: len(texts[i]), default=None)
-        if tried is not None:
-            whole = self.library.encode(texts[tried].decode(), add_special_tokens=False).ids
-            if array(self.kind.char, whole).tobytes() != found[tried]:
-                raise ValueError("a text encoded word by word differs from the library")
+        counts = np.diff(offsets)
+        for at in range(0, len(texts), C.BATCH_ROWS):
+            some = [i for i in range(at, min(at + C.BATCH_ROWS, len(texts))) if counts[i] > 1 and len(texts[i].split()) > 1]
+            if some:
+                tried = min(some, key=lambda i: len(texts[i]))
+                whole = self.library.encode(texts[tried].decode(), add_special_tokens=False).ids
+                if array(self.kind.char, whole).tobytes() != found[tried]:
+                    raise ValueError("a text encoded word by word differs from the library")
         return found
 
 
@@ -82,6 +146,21 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[int | None]]]:
+    """Texts and ids of batches together, up to the batch that makes them HELD_BYTES."""
+    texts, docs, held = [], [], 0
+    for batch in batches:
+        some = C.column_bytes(batch)
+        texts += some
+        docs += batch.column("doc_id").to_pylist()
+        held += sum(map(len, some))
+        if held >= HELD_BYTES:
+            yield texts, docs
+            texts, docs, held = [], [], 0
+    if texts:
+        yield texts, docs
+
+
 def _store(path: str) -> tuple[stores.FileSystem, str]:
     return stores.FileSystem.from_uri(path)
 
@@ -107,15 +186,13 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> D
         path, suffix = f"{folder}/shard-{shard:08d}", f".attempt-{task.taskAttemptId()}"
         store, local = _store(path)
         ends, ids, sink = array("q", [0]), array("q"), None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for texts, docs in _gathered(batches):
             if sink is None:
                 sink = store.open_output_stream(local + ".ids" + suffix)
-            for encoded in tool.encode(C.column_bytes(batch)):
+            for encoded in tool.encode(texts):
                 sink.write(encoded + end)
                 ends.append(ends[-1] + len(encoded) // tool.kind.itemsize + 1)
-            ids.extend(NO_ID if d is None else d for d in batch.column("doc_id").to_pylist())
+            ids.extend(NO_ID if d is None else d for d in docs)
         if sink is None:
             return
         sink.close()

@@ -301,3 +301,43 @@ def test_empty_table(llm, tmp_path, small, name):
         assert [r.conv_id for r in found.collect()] == [-1]  # the conversation that the query adds
     else:
         assert found.columns[0] in ("doc_id", "anchor_id", "conv_id") and found.collect() == []
+
+
+class Counted:
+    """A tokenizer that counts the texts handed to it."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode(self, text, **options):
+        self.texts += 1
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_latin_words_reach_the_library_together():
+    rng, tool = random.Random(4), token_files.WordEncoder(WORDS)
+    words = ["".join(rng.choice("abcdefghijÀéñßÿ") for _ in range(9)) for _ in range(3000)]
+    texts = [" ".join(words[i : i + 100]).encode() for i in range(0, 3000, 100)]
+    want = [np.array(tool.library.encode(t.decode(), add_special_tokens=False).ids, dtype=tool.kind).tobytes() for t in texts]
+    counted = [Counted(t) for t in (tool.library, getattr(tool, "plain", None)) if t is not None]
+    tool.library, tool.plain = (*counted, None)[:2]
+    assert tool.encode(texts) == want
+    assert sum(c.texts for c in counted) < 30
+
+
+def test_words_by_themselves_are_the_whole_text(monkeypatch):
+    """Random texts of letters in both cases, combining marks, marks, digits, odd spaces and special strings, with a
+    worker that forgets often, against the library on whole texts."""
+    monkeypatch.setattr(token_files, "REMEMBERED", 60)
+    rng, tool = random.Random(6), token_files.WordEncoder(WORDS)
+    assert tool.plain is not None
+    bits = ["a", "J", "k", "É", "ÿ", "ß", "İ", "ẞ", "K", "Å", "\u030c", "\u0301", "µ", "ª", "×", "÷", "日", "😀", "'s", "'RE", "'", ")", "]}", "&&", "#$", ".", ",", "|", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    bits += ["7", "٣", "\x00", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u200b", " ", " ", "\n", "\t\x0b", "\x0c\r", "the", "Word"]
+    for _ in range(20):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(60))).encode() for _ in range(40)] + [b"", b" ", b"one"]
+        want = [np.array(tool.library.encode(t.decode(), add_special_tokens=False).ids, dtype=tool.kind).tobytes() for t in texts]
+        assert tool.encode(texts) == want
