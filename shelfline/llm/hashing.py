@@ -45,7 +45,7 @@ def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
             p[0] = 1
             pair.append(np.cumprod(p, dtype=np.uint64))
         have = (pair[0], pair[1])
-        if room <= 1 << 23:  # longer ones are not kept: memory of a worker stays bounded
+        if room <= 1 << 20:  # longer ones are made again: a worker would hold them through all its later work
             _POWERS[base] = have
     return have[0][:size], have[1][:size]
 

@@ -202,10 +202,13 @@ def remove_repeats(
         )
 
     by_chunk = parts.groupBy("chunk")
-    asked = by_chunk.applyInArrow(ask_blocks, "chunk int, bucket int, keys binary, flags binary")
-    first = asked.groupBy("bucket").applyInArrow(answer_blocks, ANSWER)
-    asked = by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(ask_windows, "chunk int, bucket int, keys binary, base long, docs binary")
-    second = asked.groupBy("bucket").applyInArrow(answer_windows, ANSWER)
-    result = by_chunk.cogroup(first.unionByName(second).groupBy("chunk")).applyInArrow(cut, C.packed_schema(parts, ADDED))
+    asked = by_chunk.applyInArrow(lambda part: C.settled(ask_blocks, part), "chunk int, bucket int, keys binary, flags binary")
+    first = asked.groupBy("bucket").applyInArrow(lambda asks: C.settled(answer_blocks, asks), ANSWER)
+    asked = by_chunk.cogroup(first.groupBy("chunk")).applyInArrow(
+        lambda part, answers: C.settled(ask_windows, part, answers), "chunk int, bucket int, keys binary, base long, docs binary"
+    )
+    second = asked.groupBy("bucket").applyInArrow(lambda asks: C.settled(answer_windows, asks), ANSWER)
+    answered = first.unionByName(second).groupBy("chunk")
+    result = by_chunk.cogroup(answered).applyInArrow(lambda part, answers: C.settled(cut, part, answers), C.packed_schema(parts, ADDED))
     return C.unpacked(result, docs, ["n_words", "n_removed", "spans"])
 

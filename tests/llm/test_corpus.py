@@ -5,13 +5,14 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from llm_data import frame, llm, odd, small, small_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import near_dedup
+from shelfline.llm import chunks, hashing, near_dedup
 from shelfline.llm.catalog import PIECES, QUERIES
 from shelfline.llm.components import components
 from shelfline.llm.mixing import mix_rows, taken_words
@@ -239,3 +240,44 @@ def test_differences_lead_linked_members_to_each_other(percent):
         every = (leads[0] | set(more1.tolist()), leads[1] | set(more2.tolist()))
         assert leads[0] & every[1] or leads[1] & every[0]
     assert met > 200
+
+
+def held_mb() -> float:
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * 4096 / 1e6
+
+
+class Stages:
+    """Hands out what a worker runs."""
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def small_parts():
+    """About 200 MB in each allocator, in parts too small to go back to the system by themselves."""
+    arrays, texts = [np.ones(12_000) for _ in range(2_000)], [pa.array([b"x" * 500] * 200) for _ in range(2_000)]
+    return len(arrays), len(texts)
+
+
+def test_workers_give_memory_back():
+    """What a task or group has worked with does not stay with its worker, which idles beside later stages."""
+    behind = []
+
+    def work(batch):
+        small_parts()
+        behind.append(np.ones(12_000))  # lies above what was freed
+        return batch
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64())})
+    before = held_mb()
+    assert sum(b.num_rows for b in chunks.map_batches(Stages(), work, "doc_id long")(iter([batch, batch]))) == 2
+    assert held_mb() - before < 60
+    assert chunks.settled(work, batch) is batch
+    assert held_mb() - before < 60
+
+
+def test_long_tables_of_powers_are_not_kept():
+    up, down = hashing.powers(hashing.BYTE_BASE, 3_000_000)
+    assert len(up) == 3_000_000 and np.all(up * down == 1)
+    assert all(len(a) <= 1 << 20 for pair in hashing._POWERS.values() for a in pair)
